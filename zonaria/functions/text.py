@@ -90,7 +90,7 @@ def id_list(text: Column) -> Column:
 
 
 # Wording of a decree in a document name, and document types that hold an ordinance.
-DECREE = r"(?iu)(Decreto|Resoluci[oó]n|D\.?\s*S\.?)\s*(?:Exento\s*)?N[°º]?\s*([\w\-/]+)"
+DECREE = r"(?iuU)(Decreto|Resoluci[oó]n|D\.?\s*S\.?)\s*(?:Exento\s*)?N[°º]?\s*([\w\-/]+)"
 ORDINANCE_TYPES = ("Ordenanza", "Publicación D. O. con Ordenanza")
 
 
@@ -109,7 +109,10 @@ def decree_text(documents: Column, number: Column) -> Column:
 
 
 def ordinance_url(documents: Column) -> Column:
-    by_type = [F.filter(documents, lambda d, t=t: (d["tipo"] == t) & (F.length(d["url"]) > 0)) for t in ORDINANCE_TYPES]
+    def linked(kind: str) -> Column:
+        return F.filter(documents, lambda d: (d["tipo"] == kind) & (F.length(d["url"]) > 0))
+
+    by_type = [linked(kind) for kind in ORDINANCE_TYPES]
     return F.get(F.concat(*by_type), F.lit(0))["url"]
 
 

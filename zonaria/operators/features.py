@@ -74,7 +74,10 @@ def cached_counts(catalogue: DataFrame, features: DataFrame) -> DataFrame:
 
 def pick_field(keys: Column, candidates: tuple[str, ...], excluded: Column | None = None) -> Column:
     """First candidate that a layer has, in any case (the spelling of the layer is returned)."""
-    found = [F.get(F.filter(keys, lambda k, c=c: F.upper(k) == c), F.lit(0)) for c in candidates]
+    def spelled(name: str) -> Column:
+        return F.get(F.filter(keys, lambda k: F.upper(k) == name), F.lit(0))
+
+    found = [spelled(name) for name in candidates]
     if excluded is not None:
         found = [F.when(f.eqNullSafe(excluded), F.lit(None)).otherwise(f) for f in found]
     return F.coalesce(*found)
