@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from zonaria.functions.numeric import half_even
 from zonaria.functions import geometry as G
 from zonaria.operators import buildings as B
 from zonaria.operators import cards as K
@@ -135,7 +136,7 @@ def coast_quality(spark, sf):
     WHERE f.ipt_tipo IN ('PRC', 'SECCIONAL', 'LU') AND f.cut_ipt IS NULL GROUP BY 1, 2""")
 def without_comuna(spark, sf):
     comunas, feat, _ = layers(spark, sf)
-    rows = feat.withColumns({"servicio": F.lit("IPT"), "capa": F.col("ipt_tipo"), "attrs_raw": F.lit("{}"), "comunal": F.col("ipt_tipo").isin("PRC", "SECCIONAL", "LU")}).withColumnRenamed("gid", "fid")
+    rows = feat.drop("comuna").withColumns({"servicio": F.lit("IPT"), "capa": F.col("ipt_tipo"), "attrs_raw": F.lit("{}"), "comunal": F.col("ipt_tipo").isin("PRC", "SECCIONAL", "LU")}).withColumnRenamed("gid", "fid")
     touch = J.polygons_intersect(rows.where("comunal AND cut_ipt IS NULL").select(F.col("fid").alias("lid"), "geom"), comunas.select(F.col("cut").alias("rid"), "geom"), TILE)
     touch = touch.join(comunas.select(F.col("cut").alias("rid"), "comuna"), "rid").select(F.col("lid").alias("fid"), "comuna")
     return P.unplaced_instruments(rows, touch).select("ipt_tipo", "ipt_nombre", "features", "comunas_tocadas")
@@ -160,7 +161,7 @@ def ids(spark, sf):
 def class_statistics(spark, sf):
     names = relation(spark, sf, "feat").select("gid", "ipt_nombre")
     return pieces(spark, sf).join(names, "gid", "left").groupBy("cut", "clase").agg(
-        F.countDistinct("ipt_nombre").alias("instrumentos"), F.bround(F.sum("area_m2") / 1e6, 6).alias("km2"))
+        F.countDistinct("ipt_nombre").alias("instrumentos"), half_even(F.sum("area_m2") / 1e6, 6).alias("km2"))
 
 
 @query("K2_pair_areas", "lots buildings", """SELECT b.bid AS lid, l.rid, (least(l.x1, b.x1) - greatest(l.x0, b.x0)) * (least(l.y1, b.y1) - greatest(l.y0, b.y0)) AS area

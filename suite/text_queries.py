@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from zonaria.functions.numeric import half_even
 from zonaria.functions import crs as C
 from zonaria.functions import geometry as G
 from zonaria.functions import scales as S
@@ -216,7 +217,7 @@ def shape_id(spark, sf):
 
 @query("I25_half_even_rounding", sql="SELECT l_orderkey, l_linenumber, l_partkey, round_even(l_quantity / 2, 0) AS mitad, left(concat(l_returnflag, l_linestatus), 1) AS corto FROM lineitem")
 def rounding(spark, sf):
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.bround(F.col("l_quantity") / 2, 0).alias("mitad"), F.left(F.concat("l_returnflag", "l_linestatus"), F.lit(1)).alias("corto"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", half_even(F.col("l_quantity") / 2, 0).alias("mitad"), F.left(F.concat("l_returnflag", "l_linestatus"), F.lit(1)).alias("corto"))
 
 
 LON, LAT = "(-75 + pid % 1000 / 200e0)", "(-50 + pid % 977 / 30e0)"

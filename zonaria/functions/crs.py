@@ -6,6 +6,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numeric import half_even
 from . import geometry as G
 
 # South America equal-area conic (ESRI:102033), ellipsoid a = 6378160, 1/f = 298.25.
@@ -61,7 +62,7 @@ def albers_lonlat(x: Column, y: Column) -> Column:
 def to_albers(geom: Column, digits: int = 3) -> Column:
     """Lon/lat geometry → equal-area metres on the 1 mm grid."""
     def project(p: Column) -> Column:
-        return G.let(albers_xy(p["x"], p["y"]), lambda v: G.point(F.bround(v["x"], digits), F.bround(v["y"], digits)))
+        return G.let(albers_xy(p["x"], p["y"]), lambda v: G.point(half_even(v["x"], digits), half_even(v["y"], digits)))
 
     return F.transform(geom, lambda poly: F.transform(poly, lambda ring: F.transform(ring, project)))
 

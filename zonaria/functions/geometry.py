@@ -5,11 +5,14 @@ Parquet, by plain SQL and by other engines.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numeric import half_even
+
 POINT = "struct<x:double,y:double>"
 GEOMETRY = f"array<array<array<{POINT}>>>"
 EDGES = "array<struct<x0:double,y0:double,x1:double,y1:double>>"
@@ -36,7 +39,7 @@ def from_coordinates(polygons: Column) -> Column:
 
 def to_coordinates(geom: Column, digits: int | None = None) -> Column:
     def number(c: Column) -> Column:
-        return c if digits is None else F.bround(c, digits)
+        return c if digits is None else half_even(c, digits)
 
     return F.transform(geom, lambda poly: F.transform(
         poly, lambda ring: F.transform(ring, lambda p: F.array(number(p["x"]), number(p["y"])))))
@@ -49,7 +52,7 @@ def map_points(geom: Column, x: Callable[[Column, Column], Column], y: Callable[
 
 def snap(geom: Column, digits: int = 3) -> Column:
     """Coordinates on the working grid (1 mm)."""
-    return map_points(geom, lambda x, y: F.bround(x, digits), lambda x, y: F.bround(y, digits))
+    return map_points(geom, lambda x, y: half_even(x, digits), lambda x, y: half_even(y, digits))
 
 
 def rings(geom: Column) -> Column:
@@ -60,6 +63,49 @@ def vertices(geom: Column) -> Column:
     return F.flatten(F.flatten(geom))
 
 
+def _column_name(value: Column) -> str | None:
+    """Name of a plain column; None for expressions and lambda arguments."""
+    name = value._jc.toString()
+    plain = re.fullmatch(r"[A-Za-z_]\w*(\.\w+)*", name) and not re.fullmatch(r"[xyz]_\d+", name)
+    return name if plain else None
+
+
+def _segments_sql(ring: str) -> str:
+    n = f"greatest(size({ring}) - 1, 0)"
+    return (f"zip_with(slice({ring}, 1, {n}), slice({ring}, 2, {n}), "
+            "(a, b) -> named_struct('x0', a.x, 'y0', a.y, 'x1', b.x, 'y1', b.y))")
+
+
+def _edges_sql(geom: str) -> str:
+    return f"flatten(transform(flatten({geom}), r -> {_segments_sql('r')}))"
+
+
+def _ring_area_sql(ring: str) -> str:
+    return f"aggregate({_segments_sql(ring)}, 0D, (s, e) -> s + (e.x0 * e.y1 - e.x1 * e.y0)) / 2"
+
+
+def _area_sql(geom: str) -> str:
+    rings_ = f"transform(poly, r -> abs({_ring_area_sql('r')}))"
+    one = f"get(transform(array({rings_}), v -> 2 * coalesce(get(v, 0), 0D) - aggregate(v, 0D, (s, w) -> s + w)), 0)"
+    return f"aggregate(transform({geom}, poly -> {one}), 0D, (s, w) -> s + w)"
+
+
+def _bbox_sql(geom: str) -> str:
+    return (f"get(transform(array(flatten(flatten({geom}))), v -> named_struct('xmin', array_min(transform(v, p -> p.x)), 'ymin', array_min(transform(v, p -> p.y)), "
+            "'xmax', array_max(transform(v, p -> p.x)), 'ymax', array_max(transform(v, p -> p.y)))), 0)")
+
+
+def _interior_sql(geom: str) -> str:
+    largest = f"array_max(transform({geom}, q -> named_struct('a', {_area_sql('array(q)')}, 'g', array(q)))).g"
+    at_level = ("array_sort(transform(filter(es, e -> (e.y0 <= y) <> (e.y1 <= y)), "
+                "e -> e.x0 + (y - e.y0) / (e.y1 - e.y0) * (e.x1 - e.x0)))")
+    gap = ("array_max(transform(sequence(0, greatest(CAST(floor(size(xs) / 2) AS INT) - 1, 0)), k -> named_struct("
+           "'w', get(xs, 2 * k + 1) - get(xs, 2 * k), 'x', (get(xs, 2 * k + 1) + get(xs, 2 * k)) / 2))).x")
+    point_ = f"get(transform(array({at_level}), xs -> named_struct('x', {gap}, 'y', y)), 0)"
+    per_edges = f"get(transform(array((array_min(transform(es, e -> e.y0)) + array_max(transform(es, e -> e.y0))) / 2), y -> {point_}), 0)"
+    return f"get(transform(transform(array({largest}), g1 -> {_edges_sql('g1')}), es -> {per_edges}), 0)"
+
+
 def segments(ring: Column) -> Column:
     n = F.greatest(F.size(ring) - 1, F.lit(0))
     return F.zip_with(F.slice(ring, F.lit(1), n), F.slice(ring, F.lit(2), n), lambda a, b: F.struct(
@@ -67,7 +113,9 @@ def segments(ring: Column) -> Column:
 
 
 def edges(geom: Column) -> Column:
-    return F.flatten(F.transform(rings(geom), segments))
+    """All directed edges. Plain columns go through SQL text: one expression instead of many calls into the JVM."""
+    name = _column_name(geom)
+    return F.expr(_edges_sql(name)) if name else F.flatten(F.transform(rings(geom), segments))
 
 
 def _sum(values: Column) -> Column:
@@ -80,6 +128,10 @@ def ring_signed_area(ring: Column) -> Column:
 
 def area(geom: Column) -> Column:
     """Outer rings minus holes, whatever the ring direction."""
+    name = _column_name(geom)
+    if name:
+        return F.expr(_area_sql(name))
+
     def polygon(poly: Column) -> Column:
         sizes = F.transform(poly, lambda r: F.abs(ring_signed_area(r)))
         return let(sizes, lambda a: 2 * F.coalesce(F.get(a, F.lit(0)), F.lit(0.0)) - _sum(a))
@@ -88,11 +140,12 @@ def area(geom: Column) -> Column:
 
 
 def bbox(geom: Column) -> Column:
+    name = _column_name(geom)
+    if name:
+        return F.expr(_bbox_sql(name))
     return let(vertices(geom), lambda v: F.struct(
-        F.array_min(F.transform(v, lambda p: p["x"])).alias("xmin"),
-        F.array_min(F.transform(v, lambda p: p["y"])).alias("ymin"),
-        F.array_max(F.transform(v, lambda p: p["x"])).alias("xmax"),
-        F.array_max(F.transform(v, lambda p: p["y"])).alias("ymax")))
+        F.array_min(F.transform(v, lambda p: p["x"])).alias("xmin"), F.array_min(F.transform(v, lambda p: p["y"])).alias("ymin"),
+        F.array_max(F.transform(v, lambda p: p["x"])).alias("xmax"), F.array_max(F.transform(v, lambda p: p["y"])).alias("ymax")))
 
 
 def centroid_x(geom: Column) -> Column:
@@ -127,27 +180,12 @@ def crosses_itself(geom: Column) -> Column:
     return let(edges(geom), lambda es: F.exists(es, lambda a: F.exists(es, lambda b: proper(a, b))))
 
 
-def _crossings(es: Column, y: Column) -> Column:
-    """Sorted x where the horizontal at ``y`` meets the edges (half-open in y)."""
-    hit = F.filter(es, lambda e: (e["y0"] <= y) != (e["y1"] <= y))
-    return F.array_sort(F.transform(hit, lambda e: e["x0"] + (y - e["y0"]) / (e["y1"] - e["y0"]) * (e["x1"] - e["x0"])))
-
-
 def interior_point(geom: Column) -> Column:
-    """A point inside: middle of the widest stretch at mid height of the largest part."""
-    def largest(g: Column) -> Column:
-        sized = F.transform(g, lambda p: F.struct(area(F.array(p)).alias("a"), F.array(p).alias("g")))
-        return F.array_max(sized)["g"]
-
-    def widest(g: Column) -> Column:
-        return let(bbox(g), lambda b: let((b["ymin"] + b["ymax"]) / 2, lambda y: let(
-            _crossings(edges(g), y), lambda xs: let(
-                F.array_max(F.transform(F.sequence(F.lit(0), F.greatest(F.floor(F.size(xs) / 2) - 1, F.lit(0)).cast("int")),
-                                        lambda k: F.struct((F.get(xs, 2 * k + 1) - F.get(xs, 2 * k)).alias("w"),
-                                                           ((F.get(xs, 2 * k + 1) + F.get(xs, 2 * k)) / 2).alias("x")))),
-                lambda best: point(best["x"], y)))))
-
-    return let(largest(geom), widest)
+    """A point inside: middle of the widest stretch at mid height of the largest part (of a plain column)."""
+    name = _column_name(geom)
+    if name is None:
+        raise ValueError("interior_point needs a plain column")
+    return F.expr(_interior_sql(name))
 
 
 def covers_inside(es: Column, x: Column, y: Column) -> Column:
@@ -196,37 +234,29 @@ def shape_id(geom: Column) -> Column:
     return F.substring(F.sha2(F.to_json(geom), 256), 1, 12)
 
 
-def _clip_axis(ring: Column, axis: str, low: Column, high: Column) -> Column:
+def _clip_ring_sql(ring: str, axis: str, low: str, high: str) -> str:
     """Part of a closed ring between two parallels to the other axis (kept closed)."""
-    other = "y" if axis == "x" else "x"
-
-    def at(e: Column, t: Column) -> Column:
-        a0, a1, o0, o1 = e[axis + "0"], e[axis + "1"], e[other + "0"], e[other + "1"]
-        along = F.when(t >= 1, a1).when(t <= 0, a0).otherwise(
-            F.least(F.greatest(a0 + t * (a1 - a0), low), high))
-        across = F.when(t >= 1, o1).when(t <= 0, o0).otherwise(o0 + t * (o1 - o0))
-        return point(along, across) if axis == "x" else point(across, along)
-
-    def emit(e: Column) -> Column:
-        a0, d = e[axis + "0"], e[axis + "1"] - e[axis + "0"]
-        inside = a0.between(low, high)
-        t_in = F.when(d > 0, (low - a0) / d).when(d < 0, (high - a0) / d).otherwise(
-            F.when(inside, F.lit(0.0)).otherwise(2.0))
-        t_out = F.when(d > 0, (high - a0) / d).when(d < 0, (low - a0) / d).otherwise(
-            F.when(inside, F.lit(1.0)).otherwise(-1.0))
-        span = F.struct(F.greatest(t_in, F.lit(0.0)).alias("a"), F.least(t_out, F.lit(1.0)).alias("b"))
-        none = F.array().cast(f"array<{POINT}>")
-        return let(span, lambda s: F.when(s["a"] > s["b"], none).when(
-            s["a"] > 0, F.array(at(e, s["a"]), at(e, s["b"]))).otherwise(F.array(at(e, s["b"]))))
-
-    def close(points: Column) -> Column:
-        return F.when(F.size(points) >= 3, F.concat(points, F.slice(points, 1, 1))).otherwise(F.slice(points, 1, 0))
-
-    return let(F.flatten(F.transform(segments(ring), emit)), close)
-
-
-def clip_axis(geom: Column, axis: str, low: Column, high: Column) -> Column:
-    """Geometry cut to a band; rings left without area vanish (parity of the parts is kept)."""
-    clipped = F.transform(geom, lambda poly: F.filter(
-        F.transform(poly, lambda ring: _clip_axis(ring, axis, low, high)), lambda r: F.size(r) >= 4))
-    return F.filter(clipped, lambda poly: F.size(poly) > 0)
+    o = "y" if axis == "x" else "x"
+
+    def at(t: str) -> str:
+        along = f"CASE WHEN {t} >= 1 THEN e.{axis}1 WHEN {t} <= 0 THEN e.{axis}0 ELSE least(greatest(e.{axis}0 + {t} * (e.{axis}1 - e.{axis}0), {low}), {high}) END"
+        across = f"CASE WHEN {t} >= 1 THEN e.{o}1 WHEN {t} <= 0 THEN e.{o}0 ELSE e.{o}0 + {t} * (e.{o}1 - e.{o}0) END"
+        x, y = (along, across) if axis == "x" else (across, along)
+        return f"named_struct('x', {x}, 'y', {y})"
+
+    d = f"(e.{axis}1 - e.{axis}0)"
+    inside = f"e.{axis}0 BETWEEN {low} AND {high}"
+    enter = f"CASE WHEN {d} > 0 THEN ({low} - e.{axis}0) / {d} WHEN {d} < 0 THEN ({high} - e.{axis}0) / {d} WHEN {inside} THEN 0D ELSE 2D END"
+    leave = f"CASE WHEN {d} > 0 THEN ({high} - e.{axis}0) / {d} WHEN {d} < 0 THEN ({low} - e.{axis}0) / {d} WHEN {inside} THEN 1D ELSE -1D END"
+    span = f"named_struct('a', greatest({enter}, 0D), 'b', least({leave}, 1D))"
+    points = (f"get(transform(array({span}), s -> CASE WHEN s.a > s.b THEN CAST(array() AS array<{POINT}>) "
+              f"WHEN s.a > 0 THEN array({at('s.a')}, {at('s.b')}) ELSE array({at('s.b')}) END), 0)")
+    kept = f"flatten(transform({_segments_sql(ring)}, e -> {points}))"
+    return f"get(transform(array({kept}), c -> CASE WHEN size(c) >= 3 THEN concat(c, slice(c, 1, 1)) ELSE slice(c, 1, 0) END), 0)"
+
+
+def clip_axis(geom: str, axis: str, low: str, high: str) -> Column:
+    """Geometry column cut to a band given by two SQL expressions; rings left without area vanish (parity is kept)."""
+    one = _clip_ring_sql("r", axis, f"CAST({low} AS DOUBLE)", f"CAST({high} AS DOUBLE)")
+    rings_ = f"filter(transform(poly, r -> {one}), r -> size(r) >= 4)"
+    return F.expr(f"filter(transform({geom}, poly -> {rings_}), poly -> size(poly) > 0)")

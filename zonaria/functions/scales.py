@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numeric import half_even
+
 # Bands of the occupation coefficient (upper limit, label, colour).
 OCCUPATION_BANDS = (
     (0.02, "< 2 %", "#ffffcc"),
@@ -133,5 +135,5 @@ def ramp_colour(value: Column, ramp: list[tuple[float, str]], step: bool = False
 
     visible = value.isNotNull() & ((value >= stops[0][0]) if step else F.lit(True))
     base = [F.when(value.isNull(), float(stops[0][1][k])).otherwise(channel(k)) for k in range(3)]
-    return F.struct(*[F.bround(c, 0).cast("int").alias(n) for c, n in zip(base, "rgb")],
+    return F.struct(*[half_even(c, 0).cast("int").alias(n) for c, n in zip(base, "rgb")],
                     F.when(visible, 255).otherwise(0).alias("a"))

@@ -6,6 +6,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numeric import half_even
+
 
 def _single_char_folds() -> tuple[str, str]:
     """Characters whose compatibility decomposition is exactly one ASCII character, and that character."""
@@ -147,7 +149,7 @@ def match_method(text: Column) -> Column:
 
 def coordinate(text: Column, low: float, high: float) -> Column:
     value = text.try_cast("double")
-    return F.when(value.between(low, high), F.bround(value, 6))
+    return F.when(value.between(low, high), half_even(value, 6))
 
 
 def address(text: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import geometry as G
 from ..functions import scales as S
 from .overlay import pair_areas
@@ -41,7 +42,7 @@ def footprint_table(buildings: DataFrame, comunas: DataFrame, size: float) -> Da
     """The product: building columns with cut, comuna, region and area."""
     names = comunas.select("cut", "comuna", "region")
     return (buildings.join(assign_comunas(buildings, comunas, size), "id").join(names, "cut")
-            .withColumn("area_m2", F.bround(G.area(F.col("geom")), 1)))
+            .withColumn("area_m2", half_even(G.area(F.col("geom")), 1)))
 
 
 def region_manifest(table: DataFrame, read: DataFrame, region: str) -> DataFrame:
@@ -99,5 +100,5 @@ def window_view(buildings: DataFrame, box: tuple[float, float, float, float], li
                 & F.col("bbox.xmax").between(xmin, xmax) & F.col("bbox.ymax").between(ymin, ymax)))
     height = S.estimated_height(F.col("height"), F.col("num_floors"), reference)
     return near.where(meets).select(
-        "id", F.bround(height, 1).alias("altura_est"), S.height_source(F.col("height"), F.col("num_floors")).alias("altura_fuente"),
-        F.bround("area_m2", 1).alias("area_m2"), "fuente", "geom").limit(limit + 1)
+        "id", half_even(height, 1).alias("altura_est"), S.height_source(F.col("height"), F.col("num_floors")).alias("altura_fuente"),
+        half_even("area_m2", 1).alias("area_m2"), "fuente", "geom").limit(limit + 1)

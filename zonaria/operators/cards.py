@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import geometry as G
 from ..functions import text as X
 from .overlay import pair_areas
@@ -44,8 +45,8 @@ def card_rows(share: DataFrame, pieces: DataFrame) -> DataFrame:
     rows = share.join(pieces.select("pid", *KEYS, "riesgo"), "pid")
     sums = rows.groupBy("qid", *KEYS).agg(
         F.sum("a").alias("a"), F.sum(F.when(F.coalesce("riesgo", F.lit(False)), F.col("a")).otherwise(0.0)).alias("r"), F.max("total").alias("total"))
-    return sums.select("qid", *KEYS, "a", F.bround(100 * F.col("a") / F.col("total"), 2).alias("pct"),
-                       F.bround(100 * F.col("r") / F.col("total"), 2).alias("riesgo_pct"))
+    return sums.select("qid", *KEYS, "a", half_even(100 * F.col("a") / F.col("total"), 2).alias("pct"),
+                       half_even(100 * F.col("r") / F.col("total"), 2).alias("riesgo_pct"))
 
 
 def card_heads(requests: DataFrame, share: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -57,10 +58,10 @@ def card_heads(requests: DataFrame, share: DataFrame, pieces: DataFrame) -> Data
     joined = requests.join(sums, "qid", "left")
     part = (~F.col("es_punto")) & (F.col("covered") < F.col("total") * 0.9999)
     coverage = F.when(F.col("covered").isNull(), "fuera_dpa").when(part, "parcial").otherwise("completa")
-    missing = F.bround(100 * (1 - F.col("covered") / F.col("total")), 2)
+    missing = half_even(100 * (1 - F.col("covered") / F.col("total")), 2)
     reason = (F.when(coverage == "fuera_dpa", "Fuera de cobertura DPA")
               .when(coverage == "parcial", F.concat(missing.cast("string"), F.lit("% del polígono queda fuera de cobertura DPA (no cae en ninguna comuna)."))))
-    return joined.select("qid", "m.comuna", "m.cut", "m.region", F.bround(100 * F.coalesce(F.col("r") / F.col("total"), F.lit(0.0)), 2).alias("riesgo_pct"),
+    return joined.select("qid", "m.comuna", "m.cut", "m.region", half_even(100 * F.coalesce(F.col("r") / F.col("total"), F.lit(0.0)), 2).alias("riesgo_pct"),
                          coverage.alias("cobertura"), reason.alias("motivo"))
 
 
@@ -68,7 +69,7 @@ def affectation_rows(share: DataFrame, affectations: DataFrame) -> DataFrame:
     """Affectation lines: detail cut to 200 characters. affectations(pid, ipt_tipo, capa, zona, zona_desc, riesgo)."""
     return share.join(affectations.drop("geom"), "pid").select(
         "qid", "pid", F.col("ipt_tipo").alias("tipo"), "capa", "zona", F.left("zona_desc", F.lit(200)).alias("detalle"),
-        F.coalesce("riesgo", F.lit(False)).alias("riesgo"), F.bround(100 * F.col("a") / F.col("total"), 2).alias("pct"))
+        F.coalesce("riesgo", F.lit(False)).alias("riesgo"), half_even(100 * F.col("a") / F.col("total"), 2).alias("pct"))
 
 
 def norm_lists(norms: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 STATES = ("propuesta", "contrato", "mapeada", "latente", "activa", "mantenida")
 THEME_STATES = ("propuesta", "mapeada", "activa")
 PERSONAL = ("NOMBRE", "RUT")
@@ -80,7 +81,7 @@ def generated(themes: DataFrame) -> DataFrame:
 def theme_state(themes: DataFrame, outputs: DataFrame) -> DataFrame:
     """themes left join outputs(id, bytes, fecha)."""
     return themes.join(outputs, "id", "left").select(
-        "id", "categoria", "tipo", "estado", F.col("bytes").isNotNull().alias("generado"), F.bround(F.col("bytes") / 1e6, 1).alias("mb"),
+        "id", "categoria", "tipo", "estado", F.col("bytes").isNotNull().alias("generado"), half_even(F.col("bytes") / 1e6, 1).alias("mb"),
         "fecha", "licencia_verificada", publishable().alias("publicable"))
 
 

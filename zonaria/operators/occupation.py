@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import geometry as G
 from ..functions import scales as S
 from ..functions import text as X
@@ -65,8 +66,8 @@ def combine(parts: list[DataFrame]) -> DataFrame:
 
 
 def rounded(table: DataFrame) -> DataFrame:
-    return table.withColumns({"ha": F.bround("ha", 2), "m2_huella": F.bround("m2_huella", 0).cast("bigint"),
-                              "coef_ocupacion": F.bround("coef_ocupacion", 4)})
+    return table.withColumns({"ha": half_even("ha", 2), "m2_huella": half_even("m2_huella", 0).cast("bigint"),
+                              "coef_ocupacion": half_even("coef_ocupacion", 4)})
 
 
 def coloured(table: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def coloured(table: DataFrame) -> DataFrame:
 
 def quality(table: DataFrame) -> DataFrame:
     return table.agg(
-        F.count("*").alias("zonas"), F.bround(F.sum("ha"), 1).alias("ha"), F.floor(F.sum("m2_huella")).alias("m2_huella"),
-        F.sum("n_edificios").alias("n_edificios"), F.bround(F.sum("m2_huella") / (F.sum("ha") * 1e4), 4).alias("coef_global"),
-        F.bround(F.max("coef_ocupacion"), 4).alias("coef_max"), F.count(F.when(F.col("coef_ocupacion") > 1, 1)).alias("zonas_coef_mayor_100"),
+        F.count("*").alias("zonas"), half_even(F.sum("ha"), 1).alias("ha"), F.floor(F.sum("m2_huella")).alias("m2_huella"),
+        F.sum("n_edificios").alias("n_edificios"), half_even(F.sum("m2_huella") / (F.sum("ha") * 1e4), 4).alias("coef_global"),
+        half_even(F.max("coef_ocupacion"), 4).alias("coef_max"), F.count(F.when(F.col("coef_ocupacion") > 1, 1)).alias("zonas_coef_mayor_100"),
         F.count(F.when(F.col("n_edificios") == 0, 1)).alias("zonas_sin_edificios"))

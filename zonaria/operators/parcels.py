@@ -5,10 +5,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import geometry as G
 from ..functions import scales as S
 from ..functions import text as X
-from .spatial_join import nearest_polygon, points_in_polygons
+from .spatial_join import near_candidates, points_in_polygons
 
 # Fixed values of the product.
 FILLED, BY_POINT, NEAR = "relleno_respaldo1", "punto_en_poligono", "cercano_50m"
@@ -49,10 +50,10 @@ def clean(raw: DataFrame, geom: str = "geom") -> DataFrame:
         F.when(d, X.address(F.col("direccion_sii"))).alias("direccion"), F.col("_use").alias("destino_cod"),
         X.code_label(F.col("_use"), X.USES).alias("destino"),
         F.when(d, X.code_label(F.upper(F.trim("dc_cod_ubicacion")), X.LOCATIONS)).alias("ubicacion"),
-        F.bround(F.when(d, F.coalesce(positive("dc_sup_terreno"), positive("supTerreno"))), 1).alias("sup_terreno_m2"),
+        half_even(F.when(d, F.coalesce(positive("dc_sup_terreno"), positive("supTerreno"))), 1).alias("sup_terreno_m2"),
         F.when(d, number("sup_construida_total")).alias("sup_construida_m2"), F.when(d, number("pisos_max")).alias("pisos_max"),
         F.when(d & (year > 1500) & (year < 2101), year).alias("anio_construccion"), F.when(d, X.semester(F.col("periodo"))).alias("periodo_sii"),
-        F.bround(G.area(F.col(geom)), 1).alias("area_poligono_m2"), F.col("_met").alias("metodo"), (F.col("_met") == "contiene").alias("exacto"),
+        half_even(G.area(F.col(geom)), 1).alias("area_poligono_m2"), F.col("_met").alias("metodo"), (F.col("_met") == "contiene").alias("exacto"),
         d.alias("datos_sii"), F.when(d, X.coordinate(F.col("lat"), -56, -17)).alias("lat_sii"),
         F.when(d, X.coordinate(F.col("lon"), -110, -66)).alias("lon_sii"), G.shape_id(F.col(geom)).alias("id_poligono"), "origen",
         F.col(geom).alias("geom"))
@@ -86,7 +87,7 @@ def statistics(parcels: DataFrame) -> DataFrame:
     shared = F.col("n_unidades") > 1
     return parcels.groupBy("cut").agg(
         F.count("*").alias("n"), F.coalesce(F.mode("periodo_sii", deterministic=True), F.lit("")).alias("periodo"),
-        F.bround(F.count("periodo_sii") / F.greatest(F.lit(1), F.count(F.when(F.col("datos_sii"), 1))), 3).alias("pct_periodo"),
+        half_even(F.count("periodo_sii") / F.greatest(F.lit(1), F.count(F.when(F.col("datos_sii"), 1))), 3).alias("pct_periodo"),
         F.count(F.when(F.col("datos_sii"), 1)).alias("n_datos_sii"), F.countDistinct(F.when(data, F.col("rol"))).alias("n_roles"),
         F.count(F.when(F.col("exacto"), 1)).alias("n_exactos"), F.count(F.when(F.col("metodo") == "huerfano", 1)).alias("n_huerfanos"),
         (F.count("id") - F.countDistinct("id")).alias("n_ids_repetidos"),
@@ -99,7 +100,7 @@ def vote(samples: DataFrame, group: str, choice: str, minimum: float = 0.9) -> D
     total = samples.groupBy(group).agg(F.count("*").alias("total"))
     votes = samples.where(F.col(choice).isNotNull()).groupBy(group, choice).agg(F.count("*").alias("n"))
     best = votes.groupBy(group).agg(F.min(F.struct((-F.col("n")).alias("m"), F.col(choice).alias("c"))).alias("b"))
-    share = F.bround(F.coalesce(-F.col("b.m"), F.lit(0)) / F.col("total"), 3)
+    share = half_even(F.coalesce(-F.col("b.m"), F.lit(0)) / F.col("total"), 3)
     return total.join(best, group, "left").select(
         group, F.col("b.c").alias(choice), share.alias("participacion"), (F.col("b.c").isNotNull() & (share >= minimum)).alias("ok"))
 
@@ -143,25 +144,18 @@ def reassign(parcels: DataFrame, size: float, max_distance: float = 50.0) -> Dat
         .select("cut", "id_poligono", F.concat_ws("|", "cut", "id_poligono").alias("gid"), F.coalesce(F.col("p.origen") == ARCHIVE, F.lit(False)).alias("old"),
                 F.coalesce(F.col("p.area_poligono_m2"), F.lit(1e11)).alias("area"), F.col("p.geom").alias("geom")))
     points = roles.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select("pid", "x", "y")
-    prefix = lambda c: F.substring_index(c, "|", 1)
-    hits = points_in_polygons(points, pool.select("gid", "geom"), size).where(prefix("pid") == prefix("gid"))
-    inside = (hits.join(pool.select("gid", "old", "area"), "gid").groupBy("pid")
-              .agg(F.min_by("gid", F.struct("old", "area", "gid")).alias("g_in")))
-    outside = points.join(inside, "pid", "left_anti")
-    near = nearest_in_own(outside, pool, max_distance, size)
-    joined = roles.join(inside, "pid", "left").join(near, "pid", "left")
+    near = near_candidates(points, pool.select("gid", "geom"), max_distance, size, own_prefix="|")
+    inside = F.col("within")
+    order = F.struct((~inside).alias("a"), F.when(inside, F.col("old")).alias("b"), F.when(inside, F.col("area")).otherwise(F.col("distance")).alias("c"), F.col("gid"))
+    best = (near.join(pool.select("gid", "old", "area"), "gid").groupBy("pid")
+            .agg(F.min_by(F.struct("gid", "within"), order).alias("m")).select("pid", "m.gid", "m.within"))
+    joined = roles.join(best, "pid", "left")
     no_point = F.col("x").isNull() | F.col("y").isNull()
-    kind = (F.when(no_point, "sin_punto").when(F.col("g_in").isNotNull(), "dentro")
-            .when(F.col("g_near").isNotNull(), "cercano").otherwise("ninguno"))
-    target = F.when(no_point, F.col("id_poligono")).otherwise(F.substring_index(F.coalesce("g_in", "g_near"), "|", -1))
+    kind = (F.when(no_point, "sin_punto").when(F.col("within"), "dentro").when(F.col("gid").isNotNull(), "cercano").otherwise("ninguno"))
+    target = F.when(no_point, F.col("id_poligono")).otherwise(F.substring_index("gid", "|", -1))
     return joined.select("cut", "rol", "id_poligono", target.alias("id_nuevo"), kind.alias("tipo"))
 
 
-def nearest_in_own(points: DataFrame, pool: DataFrame, max_distance: float, size: float) -> DataFrame:
-    """Nearest polygon of the role's own comuna."""
-    return nearest_polygon(points, pool.select("gid", "geom"), max_distance, size, own_prefix="|").select("pid", F.col("gid").alias("g_near"))
-
-
 def apply_reassignment(parcels: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(parcel table after the decisions, roles left without polygon). A polygon that loses its roles stays as an orphan
     unless it comes from the archive."""

@@ -5,7 +5,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import geometry as G
+from ..session import truncate_lineage
 from ..rules import CLASS_ORDER, CLASSES, LOCAL, REMAINDER, LandRules
 from .overlay import overlay
 
@@ -78,20 +80,45 @@ def signatures(cell: DataFrame) -> DataFrame:
     return cell.groupBy("cut", *levels, "en_riesgo").agg(F.sum("area").alias("area"))
 
 
-def award(signature: DataFrame, min_area: float = 1.0) -> DataFrame:
-    """Adds (level, gid) of the winner. A piece below ``min_area`` is not kept and leaves its ground to the next level."""
-    won = signature.withColumns({"level": F.lit(None).cast("int"), "gid": F.lit(None).cast("bigint")})
+def award_by_level(rows: DataFrame, min_area: float = 1.0) -> DataFrame:
+    """Adds (level, gid) of the winner, level by level: a piece below ``min_area`` is not kept and leaves its ground to
+    the next level."""
+    won = rows.withColumns({"level": F.lit(None).cast("int"), "gid": F.lit(None).cast("bigint")})
     for k in range(len(CLASS_ORDER)):
         candidate = F.col(f"w{k}")
         free = F.col("level").isNull() & candidate.isNotNull()
         piece = F.sum(F.when(free, F.col("area"))).over(W.partitionBy("cut", f"w{k}"))
-        taken = free & (piece >= min_area)
-        won = won.withColumn("_t", taken).withColumns({
+        won = won.withColumn("_t", free & (piece >= min_area)).withColumns({
             "level": F.when(F.col("_t"), k).otherwise(F.col("level")),
             "gid": F.when(F.col("_t"), candidate).otherwise(F.col("gid"))}).drop("_t")
     return won
 
 
+def award(signature: DataFrame, min_area: float = 1.0) -> DataFrame:
+    """The same as :func:`award_by_level` for summed signatures, with far fewer shuffles.
+
+    A piece that reaches ``min_area`` on the ground where it is the first candidate is kept in any case, and that
+    ground is settled. Only the ground of smaller pieces goes through the level-by-level pass. The signatures are
+    written once to the shared checkpoint folder, because both parts need them.
+    """
+    ranks = range(len(CLASS_ORDER))
+    first = F.coalesce(*[F.when(F.col(f"w{k}").isNotNull(), k) for k in ranks])
+    named = signature.withColumns({"level": first, "gid": F.coalesce(*[F.col(f"w{k}") for k in ranks])})
+    own = F.sum("area").over(W.partitionBy("cut", "level", "gid"))
+    marked = truncate_lineage(named.withColumn("sure", F.col("level").isNull() | (own >= min_area)))
+    settled = marked.where("sure")
+    open_ = marked.where("NOT sure")
+    if open_.isEmpty():
+        return settled.drop("sure")
+    rivals = open_.select("cut", F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.col(f"w{k}").alias("gid")) for k in ranks])).alias("c"))
+    rivals = rivals.select("cut", "c.level", "c.gid").where("gid IS NOT NULL").distinct()
+    known = settled.groupBy("cut", "level", "gid").agg(F.sum("area").alias("area")).join(rivals, ["cut", "level", "gid"], "left_semi")
+    known = known.select("cut", *[F.when(F.col("level") == k, F.col("gid")).alias(f"w{k}") for k in ranks], F.lit(False).alias("en_riesgo"), "area",
+                         F.lit(True).alias("known"))
+    decided = award_by_level(open_.drop("level", "gid", "sure").withColumn("known", F.lit(False)).unionByName(known), min_area)
+    return settled.drop("sure").unionByName(decided.where("NOT known").drop("known"))
+
+
 def split_by_risk(awarded: DataFrame, min_area: float = 1.0) -> DataFrame:
     """Pieces (cut, level, gid, riesgo, area): a piece is split by risk only if both sides reach ``min_area``."""
     sides = awarded.groupBy("cut", "level", "gid").agg(
@@ -121,7 +148,7 @@ def partition_shapes(comunas: DataFrame, features: DataFrame, risks: DataFrame |
     """The partition with its ground: one row per trapezoid (cut, clase, fuente, gid, riesgo, lo, hi, xl0…xr1)."""
     corners = ["lo", "hi", "xl0", "xl1", "xr0", "xr1"]
     cell = cells(comunas, collapse_copies(features), risks, size, shapes=True)
-    won = award(cell, rules.min_area)
+    won = award_by_level(cell, rules.min_area)
     by_piece = W.partitionBy("cut", "level", "gid")
     a_in = F.sum(F.when(F.col("en_riesgo"), F.col("area")).otherwise(0.0)).over(by_piece)
     a_out = F.sum(F.when(F.col("en_riesgo"), 0.0).otherwise(F.col("area"))).over(by_piece)
@@ -159,7 +186,7 @@ def comuna_quality(pieces: DataFrame, comunas: DataFrame) -> DataFrame:
     joined = base.join(sums, "cut", "left").join(risk, "cut", "left")
 
     def pct(value: Column) -> Column:
-        return F.bround(100 * F.coalesce(value, F.lit(0.0)) / F.col("area_comuna_m2"), 3)
+        return half_even(100 * F.coalesce(value, F.lit(0.0)) / F.col("area_comuna_m2"), 3)
 
     total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in CLASSES), F.lit(0.0))
     out = joined.select("cut", "comuna", "region", *[pct(F.col(c)).alias(f"pct_{c}") for c in CLASSES],
@@ -180,7 +207,7 @@ def overlap_quality(pieces: DataFrame, comunas: DataFrame, size: float) -> DataF
     joined = (comunas.select("cut", G.area(F.col("geom")).alias("a")).join(sums, "cut", "left")
               .join(union_areas(pieces, "cut", "pid", size), "cut", "left"))
     over = F.greatest(F.coalesce(F.col("s") - F.col("area"), F.lit(0.0)), F.lit(0.0))
-    return joined.select("cut", F.bround(over, 1).alias("traslape_m2"), (F.bround(over, 1) < overlap_threshold(F.col("a"))).alias("traslape_ok"))
+    return joined.select("cut", half_even(over, 1).alias("traslape_m2"), (half_even(over, 1) < overlap_threshold(F.col("a"))).alias("traslape_ok"))
 
 
 def clip_affectations(features: DataFrame, comunas: DataFrame, size: float, min_area: float = 1.0) -> DataFrame:
@@ -236,10 +263,10 @@ def coastal_quality(extension: DataFrame, comunas: DataFrame) -> DataFrame:
     side = F.when(F.col("x_fuera") < F.col("cx"), "oeste (costa probable)").otherwise("este")
     kept = F.when(F.col("area_extension") >= 1.0, F.col("area_extension")).otherwise(0.0)
     return extension.join(base, "cut", "left").select(
-        "cut", "comuna", "region", F.bround(F.col("area_ipt") / 1e4, 2).alias("ha_ipt"),
-        F.bround(F.col("area_fuera") / 1e4, 2).alias("ha_fuera"),
-        F.bround(100 * F.col("area_fuera") / F.col("area_ipt"), 2).alias("pct_fuera"),
-        F.bround(kept / 1e4, 2).alias("ha_extension"), side.alias("lado"))
+        "cut", "comuna", "region", half_even(F.col("area_ipt") / 1e4, 2).alias("ha_ipt"),
+        half_even(F.col("area_fuera") / 1e4, 2).alias("ha_fuera"),
+        half_even(100 * F.col("area_fuera") / F.col("area_ipt"), 2).alias("pct_fuera"),
+        half_even(kept / 1e4, 2).alias("ha_extension"), side.alias("lado"))
 
 
 def unplaced_instruments(features: DataFrame, touches: DataFrame) -> DataFrame:

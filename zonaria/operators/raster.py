@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import crs as C
 from ..functions import scales as S
 
@@ -186,7 +187,7 @@ def raster_tiles(pixels: DataFrame, theme: dict, ramp: list[tuple[float, str]],
         return coloured
     lit = coloured.join(smooth(shade, "luz"), keys, "left")
     weight = F.when(F.col("luz").isNotNull(), (1 - intensity) + intensity * F.least(F.greatest("luz", F.lit(0.0)), F.lit(1.0))).otherwise(1.0)
-    return lit.select(*keys, *[F.least(F.greatest(F.bround(F.col(c) * weight, 0), F.lit(0)), F.lit(255)).cast("int").alias(c) for c in "rgb"], "a")
+    return lit.select(*keys, *[F.least(F.greatest(half_even(F.col(c) * weight, 0), F.lit(0)), F.lit(255)).cast("int").alias(c) for c in "rgb"], "a")
 
 
 def tile_images(pixels: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import text as X
 from ..session import truncate_lineage
 
@@ -143,7 +144,7 @@ def match(server: DataFrame, families_: DataFrame) -> DataFrame:
         *keys, F.col("b.f.id").alias("portal_id"), F.col("b.f.tipo").alias("portal_tipo"), F.col("b.f.denominacion").alias("denominacion"),
         F.col("b.f.norma").alias("norma"), F.col("b.f.fecha").alias("fecha_vigencia"), F.col("b.f.ultima_modificacion").alias("ultima_modificacion"),
         F.col("b.f.n_modificaciones").alias("n_modificaciones"), F.col("b.f.ordenanza_url").alias("ordenanza_url"),
-        F.bround("b.f.score", 3).alias("score"), "confianza")
+        half_even("b.f.score", 3).alias("score"), "confianza")
 
 
 def attach_validity(pieces: DataFrame, matches: DataFrame) -> DataFrame:

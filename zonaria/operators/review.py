@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import text as X
 from .features import zone_key
 
@@ -16,7 +17,7 @@ def review_table(pieces: DataFrame, previous: DataFrame | None = None) -> DataFr
     names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), "; ")
     rows = pieces.where(F.coalesce("revisar", F.lit(False))).groupBy("ipt_nombre", "zona").agg(
         names(F.col("region")).alias("region"), F.min("zona_desc").alias("zona_desc"), names(F.col("comuna")).alias("comunas"),
-        F.bround(F.sum("area_m2") / 1e4, 2).alias("ha"), names(F.regexp_replace("fuente", "^PRI_", "")).alias("subclase_actual"))
+        half_even(F.sum("area_m2") / 1e4, 2).alias("ha"), names(F.regexp_replace("fuente", "^PRI_", "")).alias("subclase_actual"))
     rows = rows.withColumn("_k", zone_key(F.col("ipt_nombre"), F.col("zona")))
     if previous is None:
         rows = rows.withColumn("decision", F.lit(""))

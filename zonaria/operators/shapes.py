@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import geometry as G
 
 
@@ -65,7 +66,7 @@ def boundary(cells: DataFrame, keys: list[str]) -> DataFrame:
     point = lambda x, y, a, b: F.struct(x.alias("x0"), y.alias("y0"), a.alias("x1"), b.alias("y1"))
     up = cells.select(*keys, c("xr0").alias("xa"), c("lo").alias("ya"), c("xr1").alias("xb"), c("hi").alias("yb"), F.lit(1).alias("w"))
     dn = cells.select(*keys, c("xl0").alias("xa"), c("lo").alias("ya"), c("xl1").alias("xb"), c("hi").alias("yb"), F.lit(-1).alias("w"))
-    grid = lambda name: F.bround(name, 6)
+    grid = lambda name: half_even(name, 6)
     sides = up.unionByName(dn).select(*keys, *[grid(k).alias(k) for k in ("xa", "ya", "xb", "yb")], "w")
     slanted = sides.where("xa <> xb").groupBy(*keys, "xa", "ya", "xb", "yb").agg(F.sum("w").alias("w")).where("w <> 0")
     slanted = slanted.select(*keys, F.explode(F.sequence(F.lit(1), F.abs("w").cast("int"))).alias("_n"), F.when(

@@ -67,11 +67,11 @@ def polygons_intersect(left: DataFrame, right: DataFrame, size: float, hot_rows:
     return joined.where(meets).select("lid", "rid").distinct()
 
 
-def nearest_polygon(points: DataFrame, polygons: DataFrame, max_distance: float, size: float,
+def near_candidates(points: DataFrame, polygons: DataFrame, max_distance: float, size: float,
                     hot_rows: int = HOT_ROWS, own_prefix: str | None = None) -> DataFrame:
-    """points(pid, x, y) → (pid, gid, distance) of the nearest polygon not farther than ``max_distance``; equal
-    distances go to the lower id. Pieces reach ``max_distance`` beyond their tile, so one tile holds every candidate.
-    With ``own_prefix`` only polygons whose id has the same part before that mark are candidates."""
+    """points(pid, x, y) × polygons(gid, geom) → (pid, gid, within, distance) up to ``max_distance``. Pieces reach
+    ``max_distance`` beyond their tile, so one tile holds every candidate. With ``own_prefix`` only polygons whose id has
+    the same part before that mark are candidates."""
     crowded = crowded_tiles(polygons, size, CAPACITY)
     placed = point_tiles(points.select("pid", "x", "y"), "x", "y", size, crowded)
     pieces = _pieces(polygons, "gid", size, crowded, margin=max_distance * 1.001)
@@ -80,7 +80,13 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, max_distance: float,
         joined = joined.where(F.substring_index("pid", own_prefix, 1) == F.substring_index("gid", own_prefix, 1))
     x, y = F.col("x"), F.col("y")
     distance = F.when(G.covers_inside(F.col("es"), x, y), 0.0).otherwise(G.boundary_distance(F.col("es"), x, y))
-    near = joined.select("pid", "gid", distance.alias("distance")).where(F.col("distance") <= max_distance)
+    rows = joined.select("pid", "gid", G.point_within(F.col("es"), x, y).alias("within"), distance.alias("distance"))
+    return rows.where(F.col("distance") <= max_distance)
+
+
+def nearest_polygon(points: DataFrame, polygons: DataFrame, max_distance: float, size: float, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(pid, gid, distance) of the nearest polygon not farther than ``max_distance``; equal distances go to the lower id."""
+    near = near_candidates(points, polygons, max_distance, size, hot_rows)
     return near.groupBy("pid").agg(F.min(F.struct("distance", "gid")).alias("m")).select("pid", "m.gid", "m.distance")
 
 

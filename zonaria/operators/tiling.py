@@ -74,39 +74,29 @@ def tile_pieces(df: DataFrame, size: float, crowded: DataFrame | None = None, ma
     """
     box = df.withColumn("_b", G.bbox(F.col(geom))).where(F.col("_b.xmin").isNotNull())
 
-    def span(low: Column, high: Column, step: Column) -> Column:
-        return F.explode(F.sequence(floor_cell(low - margin, step), floor_cell(high + margin, step)))
-
-    def outside(low: Column, high: Column, key: str, step: Column) -> Column:
-        return (low < F.col(key) * step - margin) | (high > (F.col(key) + 1) * step + margin)
-
-    base = F.lit(float(size))
-    rows = box.withColumn("ty", span(F.col("_b.ymin"), F.col("_b.ymax"), base))
-    rows = rows.withColumn(geom, F.when(
-        outside(F.col("_b.ymin"), F.col("_b.ymax"), "ty", base),
-        G.clip_axis(F.col(geom), "y", F.col("ty") * base - margin, (F.col("ty") + 1) * base + margin)).otherwise(F.col(geom)))
-    rows = rows.withColumn("tx", span(F.col("_b.xmin"), F.col("_b.xmax"), base))
-    rows = rows.withColumn(geom, F.when(
-        outside(F.col("_b.xmin"), F.col("_b.xmax"), "tx", base),
-        G.clip_axis(F.col(geom), "x", F.col("tx") * base - margin, (F.col("tx") + 1) * base + margin)).otherwise(F.col(geom)))
-    rows = rows.where(F.size(geom) > 0)
+    def outside(axis: str, step: str) -> str:
+        return f"_b.{axis}min < t{axis} * {step} - {margin} OR _b.{axis}max > (t{axis} + 1) * {step} + {margin}"
+
+    def cut(rows: DataFrame, axis: str, step: str, cells: str) -> DataFrame:
+        rows = rows.withColumn(f"t{axis}", F.expr(f"explode({cells})"))
+        clipped = G.clip_axis(geom, axis, f"t{axis} * {step} - {margin}", f"(t{axis} + 1) * {step} + {margin}")
+        return rows.withColumn(geom, F.when(F.expr(outside(axis, step)), clipped).otherwise(F.col(geom)))
+
+    def all_cells(axis: str, step: str) -> str:
+        return (f"sequence(CAST(floor((_b.{axis}min - {margin}) / {step}) AS BIGINT), "
+                f"CAST(floor((_b.{axis}max + {margin}) / {step}) AS BIGINT))")
+
+    size_, margin = f"{float(size)!r}D", f"{float(margin)!r}D"
+    rows = cut(box, "y", size_, all_cells("y", size_))
+    rows = cut(rows, "x", size_, all_cells("x", size_)).where(F.size(geom) > 0).drop("_b")
     if crowded is None:
-        return rows.drop("_b").withColumn("lv", F.lit(0))
-    leveled = _with_levels(rows.drop("_b"), crowded)
+        return rows.withColumn("lv", F.lit(0))
+    leveled = _with_levels(rows, crowded)
     plain = leveled.where("lv = 0")
     split = leveled.where("lv > 0").withColumn("_b", G.bbox(F.col(geom)))
-    step = F.lit(float(size)) / F.pow(F.lit(2.0), F.col("lv"))
-    parts = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("lv"))
-
-    def sub_span(low: Column, high: Column, key: str) -> Column:
-        first = F.greatest(floor_cell(low - margin, step), F.col(key) * parts)
-        last = F.least(floor_cell(high + margin, step), (F.col(key) + 1) * parts - 1)
-        return F.explode(F.when(first <= last, F.sequence(first, last)))
-
-    for axis, key in (("y", "ty"), ("x", "tx")):
-        low, high = F.col(f"_b.{axis}min"), F.col(f"_b.{axis}max")
-        split = split.withColumn(key, sub_span(low, high, key))
-        split = split.withColumn(geom, F.when(
-            outside(low, high, key, step),
-            G.clip_axis(F.col(geom), axis, F.col(key) * step - margin, (F.col(key) + 1) * step + margin)).otherwise(F.col(geom)))
+    step = f"({size_} / shiftleft(1L, lv))"
+    for axis in ("y", "x"):
+        first = f"greatest(CAST(floor((_b.{axis}min - {margin}) / {step}) AS BIGINT), t{axis} * shiftleft(1L, lv))"
+        last = f"least(CAST(floor((_b.{axis}max + {margin}) / {step}) AS BIGINT), (t{axis} + 1) * shiftleft(1L, lv) - 1)"
+        split = cut(split, axis, step, f"CASE WHEN {first} <= {last} THEN sequence({first}, {last}) END")
     return plain.unionByName(split.where(F.size(geom) > 0).drop("_b"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even
 from ..functions import geometry as G
 from ..functions import scales as S
 from ..functions import text as X
@@ -65,7 +66,7 @@ def _volume_columns(base: DataFrame, floor_height: float | None) -> DataFrame:
                              "n_comp": F.coalesce("n_comp", F.lit(0)), "zona": F.coalesce("zona", F.lit(""))})
     c, t, h = F.col("_c"), F.col("_t"), F.col("_h")
     source = F.when(h <= 0, "").when(c.isNotNull(), "sii").when(F.col("floors").isNotNull(), "overture_num_floors").otherwise("")
-    floors = (F.when(source == "sii", F.greatest(F.lit(1), F.bround(c / h, 0).cast("int")))
+    floors = (F.when(source == "sii", F.greatest(F.lit(1), half_even(c / h, 0).cast("int")))
               .when(source == "overture_num_floors", F.col("floors").cast("int")))
     base = base.withColumns({"fuente_pisos": source, "pisos_est": floors})
     ok = F.col("pisos_est").isNotNull()
@@ -83,12 +84,12 @@ def _volume_columns(base: DataFrame, floor_height: float | None) -> DataFrame:
         F.when((t > 0) & (h > t * 1.05), "la huella supera la superficie del predio"))
     m2 = h * F.col("pisos_est")
     confidence = F.when(many, "baja").when(ok, "media").otherwise("")
-    volume = F.bround(m2 * floor_height, 1) if floor_height else F.lit(None).cast("double")
+    volume = half_even(m2 * floor_height, 1) if floor_height else F.lit(None).cast("double")
     extra = [F.col(k) for k in ("direccion", "n_unidades", "calidad_geometria", "origen") if k in base.columns]
     return base.select(
-        "rid", "rol", *extra, "zona", F.bround(t, 1).alias("sup_terreno_m2"), c.alias("sup_construida_sii_m2"), "n_edificios",
-        F.bround(h, 1).alias("huella_m2"), "pisos_est", S.finite(F.col("pisos_max")).alias("pisos_max_sii"),
-        F.bround(m2, 1).alias("m2_equiv"), volume.alias("v_calc_m3"), F.bround(F.when(t > 0, h / t), 3).alias("ocupacion_predio"),
+        "rid", "rol", *extra, "zona", half_even(t, 1).alias("sup_terreno_m2"), c.alias("sup_construida_sii_m2"), "n_edificios",
+        half_even(h, 1).alias("huella_m2"), "pisos_est", S.finite(F.col("pisos_max")).alias("pisos_max_sii"),
+        half_even(m2, 1).alias("m2_equiv"), volume.alias("v_calc_m3"), half_even(F.when(t > 0, h / t), 3).alias("ocupacion_predio"),
         F.when(ok, "ok").otherwise("sin_dato").alias("estado"), F.when(F.col("n_edificios") > 0, "overture").otherwise("").alias("fuente_huella"),
         "fuente_pisos", confidence.alias("confianza_pisos"), F.concat_ws("; ", F.array_compact(notices)).alias("avisos"))
 
@@ -97,7 +98,7 @@ def existing(parcels: DataFrame, buildings: DataFrame, size: float, floor_height
     """Existing volume of parcels(rid, geom): buildings with more than half of their area inside."""
     inside = _pairs(parcels, buildings, size).where(F.col("part") / F.greatest("whole", F.lit(1e-9)) > INSIDE)
     nf, hh = S.finite(F.col("num_floors")), S.finite(F.col("height"))
-    floors = F.greatest(F.lit(1), F.coalesce(F.bround(nf, 0).cast("int"), F.bround(hh / floor_height, 0).cast("int"), F.lit(1)))
+    floors = F.greatest(F.lit(1), F.coalesce(half_even(nf, 0).cast("int"), half_even(hh / floor_height, 0).cast("int"), F.lit(1)))
     source = F.when(nf.isNotNull(), "overture_num_floors").when(hh.isNotNull(), "overture_height").otherwise("estimado")
     rows = inside.withColumns({"floors": floors, "src": source})
     sums = rows.groupBy("rid").agg(
@@ -106,11 +107,11 @@ def existing(parcels: DataFrame, buildings: DataFrame, size: float, floor_height
     base = parcels.select("rid", G.area(F.col("geom")).alias("t")).join(sums, "rid", "left")
     some = F.col("n_edificios") > 0
     return base.select(
-        "rid", F.coalesce("n_edificios", F.lit(0)).alias("n_edificios"), F.bround(F.coalesce("h", F.lit(0.0)), 1).alias("huella_m2"),
-        F.bround(F.coalesce("m2", F.lit(0.0)), 1).alias("m2_existente"), F.bround(F.col("m2") / F.nullif("h", F.lit(0.0)), 2).alias("pisos_est"),
+        "rid", F.coalesce("n_edificios", F.lit(0)).alias("n_edificios"), half_even(F.coalesce("h", F.lit(0.0)), 1).alias("huella_m2"),
+        half_even(F.coalesce("m2", F.lit(0.0)), 1).alias("m2_existente"), half_even(F.col("m2") / F.nullif("h", F.lit(0.0)), 2).alias("pisos_est"),
         F.when(F.col("s0") == F.col("s1"), F.col("s0")).when(some, "mixto").alias("fuente_pisos"),
         F.when(some & F.col("cota_inferior"), "baja").when(some, "media").alias("confianza_pisos"),
-        F.coalesce("cota_inferior", F.lit(False)).alias("cota_inferior"), F.bround("t", 1).alias("sup_terreno_m2"))
+        F.coalesce("cota_inferior", F.lit(False)).alias("cota_inferior"), half_even("t", 1).alias("sup_terreno_m2"))
 
 
 def _setback_strips(geom: Column, distance: Column) -> Column:
@@ -209,7 +210,7 @@ def possible(parcels: DataFrame, norms: DataFrame, default_height: float = FLOOR
               .when(F.col("base") <= 0, "Con retranqueo uniforme no queda base edificable; la fase 1 no es aplicable a un predio tan angosto."))
 
     def shown(value: Column, digits: int = 1) -> Column:
-        return F.when(~lacking, F.bround(value, digits))
+        return F.when(~lacking, half_even(value, digits))
 
     steps = F.concat(F.col("retr").cast("string"), F.lit(" m"))
     assumptions = F.array_compact(F.array(
@@ -242,7 +243,7 @@ def compare(existing_: DataFrame, scenarios: DataFrame) -> DataFrame:
     usable = (F.col("estado") == "ok") & F.col("_e").isNotNull() & (F.col("m2_max") != 0)
     index = F.when(usable, F.col("_e") / F.col("m2_max"))
     return scenarios.join(have, "rid", "left").withColumns({
-        "iov": F.bround(index, 3), "remanente_m2": F.bround(F.when(usable, F.col("m2_max") - F.col("_e")), 1),
+        "iov": half_even(index, 3), "remanente_m2": half_even(F.when(usable, F.col("m2_max") - F.col("_e")), 1),
         "estado_iov": S.volume_state(index)}).drop("_e")
 
 
@@ -251,7 +252,11 @@ def terrains(parcels: DataFrame, only_exact: bool = True, limit: int | None = No
     rows = parcels.where(F.col("datos_sii") & F.col("rol").isNotNull())
     if only_exact:
         rows = rows.where("exacto")
-    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("rol")))
+    tie = F.struct("rol", *[c for c in ("row_id",) if c in parcels.columns])
+
+    def first(name: str) -> Column:
+        return F.min_by(name, F.when(F.col(name).isNotNull(), tie))
+
     grouped = rows.groupBy("id_poligono").agg(
         F.min("rol").alias("r0"), F.countDistinct("rol").alias("n_unidades"), first("direccion").alias("direccion"),
         first("sup_terreno_m2").alias("land"), first("area_poligono_m2").alias("area"), F.sum("sup_construida_m2").alias("sup_construida_total"),
@@ -285,7 +290,7 @@ def zone_candidates(pieces: DataFrame, instrument: str, footprints: DataFrame, p
                 .join(z.select(F.col("pid").alias("gid"), "zona"), "gid"))
 
     built = (located(footprints, "id").join(footprints.select(F.col("id").alias("pid"), "height"), "pid").groupBy("zona")
-             .agg(F.count("*").alias("n_footprints"), F.bround(100 * F.count(S.finite(F.col("height"))) / F.count("*"), 1).alias("pct_con_altura")))
+             .agg(F.count("*").alias("n_footprints"), half_even(100 * F.count(S.finite(F.col("height"))) / F.count("*"), 1).alias("pct_con_altura")))
     lots = located(parcels, "rid").groupBy("zona").agg(F.count("*").alias("n_predios"))
     sums = z.withColumn("a", G.area(F.col("geom"))).groupBy("zona").agg(
         F.min_by("zona_desc", F.when(F.col("zona_desc").isNotNull(), F.col("pid"))).alias("descripcion"), F.sum("a").alias("m2"),
@@ -294,8 +299,8 @@ def zone_candidates(pieces: DataFrame, instrument: str, footprints: DataFrame, p
             .agg(F.max("ordenanza_url").alias("u")).select(F.lit("PRC").alias("_t"), F.coalesce("u", F.lit("")).alias("ordenanza_url")))
     out = sums.join(built, "zona", "left").join(lots, "zona", "left").withColumn("_t", F.lit("PRC")).join(F.broadcast(link), "_t", "left")
     return out.select(
-        "zona", "descripcion", F.bround(F.col("m2") / 1e4, 2).alias("ha"), F.coalesce("n_predios", F.lit(0)).alias("n_predios"),
-        F.coalesce("n_footprints", F.lit(0)).alias("n_footprints"), "pct_con_altura", F.bround(100 * F.col("m2r") / F.col("m2"), 1).alias("pct_riesgo"),
+        "zona", "descripcion", half_even(F.col("m2") / 1e4, 2).alias("ha"), F.coalesce("n_predios", F.lit(0)).alias("n_predios"),
+        F.coalesce("n_footprints", F.lit(0)).alias("n_footprints"), "pct_con_altura", half_even(100 * F.col("m2r") / F.col("m2"), 1).alias("pct_riesgo"),
         X.residential(F.col("zona"), F.col("descripcion")).alias("residencial"), "piezas",
         F.when(F.col("ordenanza_url") != "", "sí").otherwise("no").alias("ordenanza_portal"), "ordenanza_url", "cut",
     ).orderBy(F.desc("residencial"), F.desc("ha"))
