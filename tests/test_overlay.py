@@ -73,7 +73,7 @@ def test_copies_and_holes(spark):
     square = [[ring([(0, 0), (10, 0), (10, 10), (0, 10)])]]
     holed = [[ring([(0, 0), (10, 0), (10, 10), (0, 10)]), ring([(2, 2), (4, 2), (4, 4), (2, 4)])]]
     df = frame(spark, [(1, square), (2, square), (3, holed)])
-    got = O.overlay(df.select(F.struct("id").alias("item"), "geom"), 7.0, adaptive=False)
+    got = O.overlay(df.select(F.struct("id").alias("item"), "geom"), 7.0)
     got = {tuple(sorted(a.id for a in r.active)): r.s for r in got.groupBy("active").agg(F.sum("area").alias("s")).collect()}
     assert got == {(1, 2, 3): 96.0, (1, 2): 4.0}
     assert df.select(G.area(F.col("geom")).alias("a")).collect()[2].a == 96.0

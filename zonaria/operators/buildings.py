@@ -33,7 +33,7 @@ def assign_comunas(buildings: DataFrame, comunas: DataFrame, size: float) -> Dat
     counts = pairs.groupBy("lid").agg(F.count("*").alias("n"), F.min("rid").alias("only"))
     single = counts.where("n = 1").select(F.col("lid").alias("id"), F.col("only").alias("cut"))
     several = left.join(counts.where("n > 1").select("lid"), "lid", "left_semi")
-    areas = pair_areas(several, right, size).where("area > 0")
+    areas = pair_areas(several, right, size, stored=left.select("geom").unionByName(right.select("geom"))).where("area > 0")
     best = areas.groupBy("lid").agg(F.min_by("rid", F.struct(-F.col("area"), F.col("rid"))).alias("cut"))
     return single.unionByName(best.select(F.col("lid").alias("id"), "cut"))
 

@@ -59,7 +59,10 @@ def layers(comunas: DataFrame, features: DataFrame, risks: DataFrame | None) ->
 
 def cells(comunas: DataFrame, features: DataFrame, risks: DataFrame | None, size: float, shapes: bool = False) -> DataFrame:
     """Elementary cells inside comunas: (cut, best feature of every level, risk flag, area[, trapezoid])."""
-    raw = overlay(layers(comunas, features, risks), size, shapes)
+    stored = comunas.select("geom").unionByName(features.select("geom"))
+    if risks is not None:
+        stored = stored.unionByName(risks.select("geom"))
+    raw = overlay(layers(comunas, collapse_copies(features), risks), size, shapes, stored=stored)
     inside = raw.withColumn("cut", F.explode(F.transform(
         F.filter("active", lambda a: a["kind"] == COMUNA), lambda a: a["cut"])))
 
@@ -139,15 +142,14 @@ def partition(comunas: DataFrame, features: DataFrame, risks: DataFrame | None =
               rules: LandRules = LandRules()) -> DataFrame:
     """comunas(cut, geom), features(gid, fuente, rango, cut_ipt, geom), risks(gid, geom) → pieces
     (cut, clase, fuente, gid, riesgo, area_m2); the part of no instrument has a null gid."""
-    unique = collapse_copies(features)
-    return split_by_risk(award(signatures(cells(comunas, unique, risks, size)), rules.min_area), rules.min_area)
+    return split_by_risk(award(signatures(cells(comunas, features, risks, size)), rules.min_area), rules.min_area)
 
 
 def partition_shapes(comunas: DataFrame, features: DataFrame, risks: DataFrame | None = None, size: float = 2_000.0,
                      rules: LandRules = LandRules()) -> DataFrame:
     """The partition with its ground: one row per trapezoid (cut, clase, fuente, gid, riesgo, lo, hi, xl0…xr1)."""
     corners = ["lo", "hi", "xl0", "xl1", "xr0", "xr1"]
-    cell = cells(comunas, collapse_copies(features), risks, size, shapes=True)
+    cell = cells(comunas, features, risks, size, shapes=True)
     won = award_by_level(cell, rules.min_area)
     by_piece = W.partitionBy("cut", "level", "gid")
     a_in = F.sum(F.when(F.col("en_riesgo"), F.col("area")).otherwise(0.0)).over(by_piece)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .tiling import small_side
 
 HOT_ROWS = 500_000
+SALT_BYTES = 4 << 30        # below this estimate the runtime skew-join split is enough and no keys are counted
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], row_id: str, how: str = "inner",
@@ -14,7 +15,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], row_id: str,
     """``left`` ⋈ ``right`` on ``keys``; left rows of a hot key are spread over several salts (by a hash of
     ``row_id``, so that a repeated task spreads them alike) and the matching right rows repeated once per salt.
     Exact for inner, left, left_semi and left_anti joins. ``right`` must be the side with few rows per key."""
-    if hot is None:
+    if hot is None and (hot_rows < HOT_ROWS or estimated_bytes(left) > SALT_BYTES):
         hot = hot_keys(left, keys, hot_rows)
     if hot is None:
         return left.join(right, keys, how)
@@ -25,6 +26,11 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], row_id: str,
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size the optimizer expects, from file sizes; no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows and the number of salts each needs (partial counts before the shuffle)."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)

@@ -62,8 +62,8 @@ def polygons_intersect(left: DataFrame, right: DataFrame, size: float, hot_rows:
         return F.get(es, F.lit(0))
 
     es, fs = F.col("es"), F.col("fs")
-    meets = (F.exists(es, lambda a: F.exists(fs, lambda b: _touch(a, b)))
-             | G.covers_inside(fs, start(es)["x0"], start(es)["y0"]) | G.covers_inside(es, start(fs)["x0"], start(fs)["y0"]))
+    meets = (G.covers_inside(fs, start(es)["x0"], start(es)["y0"]) | G.covers_inside(es, start(fs)["x0"], start(fs)["y0"])
+             | F.exists(es, lambda a: F.exists(fs, lambda b: _touch(a, b))))
     return joined.where(meets).select("lid", "rid").distinct()
 
 

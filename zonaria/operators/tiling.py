@@ -18,29 +18,24 @@ def floor_cell(value: Column, size: Column | float) -> Column:
 def crowded_tiles(layers: DataFrame, size: float, capacity: int, geom: str = "geom") -> DataFrame | None:
     """Tiles holding more than ``capacity`` vertices and the split level that brings every sub-tile below it.
 
-    One aggregation over vertex counts (partial sums before the shuffle). ``None`` when no tile is crowded.
+    Counts are summed before the shuffle. A first pass looks only for crowded tiles; without any (``None``) the
+    finer counts are never made. Give it stored layers, not derived ones: they are read for the count.
     """
+    tile = [floor_cell(F.col("v.x"), size).alias("tx"), floor_cell(F.col("v.y"), size).alias("ty")]
+    points = layers.select(F.explode(F.expr(f"flatten(flatten({geom}))")).alias("v"))
+    full = small_side(points.groupBy(*tile).agg(F.count("*").alias("n")).where(F.col("n") > capacity).select("tx", "ty"))
+    if full is None:
+        return None
     fine = size / 2 ** MAX_LEVEL
-    counts = (
-        layers.select(F.explode(G.vertices(F.col(geom))).alias("v"))
-        .groupBy(floor_cell(F.col("v.x"), fine).alias("fx"), floor_cell(F.col("v.y"), fine).alias("fy"))
-        .agg(F.count("*").alias("n"))
-    )
-    per_level = counts.select("fx", "fy", "n", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVEL))).alias("lv"))
+    dense = points.select("v", *tile).join(full, ["tx", "ty"], "left_semi")
+    counts = dense.groupBy("tx", "ty", floor_cell(F.col("v.x"), fine).alias("fx"), floor_cell(F.col("v.y"), fine).alias("fy")).agg(F.count("*").alias("n"))
+    per_level = counts.select("*", F.explode(F.sequence(F.lit(1), F.lit(MAX_LEVEL))).alias("lv"))
     shift = F.lit(MAX_LEVEL) - F.col("lv")
-    levels = (
-        per_level.groupBy(
-            "lv", F.call_function("shiftright", F.col("fx"), shift).alias("sx"),
-            F.call_function("shiftright", F.col("fy"), shift).alias("sy"))
-        .agg(F.sum("n").alias("n"))
-        .groupBy("lv", F.call_function("shiftright", F.col("sx"), F.col("lv")).alias("tx"),
-                 F.call_function("shiftright", F.col("sy"), F.col("lv")).alias("ty"))
-        .agg(F.max("n").alias("n"))
-    )
-    chosen = levels.groupBy("tx", "ty").agg(
-        F.coalesce(F.min(F.when(F.col("n") <= capacity, F.col("lv"))), F.lit(MAX_LEVEL)).alias("lv"))
-    crowded = chosen.where("lv > 0")
-    return small_side(crowded)
+    levels = per_level.groupBy("tx", "ty", "lv", F.call_function("shiftright", F.col("fx"), shift).alias("sx"),
+                               F.call_function("shiftright", F.col("fy"), shift).alias("sy")).agg(F.sum("n").alias("n"))
+    worst = levels.groupBy("tx", "ty", "lv").agg(F.max("n").alias("n"))
+    chosen = worst.groupBy("tx", "ty").agg(F.coalesce(F.min(F.when(F.col("n") <= capacity, F.col("lv"))), F.lit(MAX_LEVEL)).alias("lv"))
+    return small_side(chosen)
 
 
 def small_side(df: DataFrame) -> DataFrame | None:
