@@ -66,7 +66,7 @@ QA = ", ".join(pct(c) for c in ("U1", "U2", "U3", "E", "R1", "R2"))
 
 
 @query("E1_comuna_quality", "feat_base feat comunas", f"""{FULL} SELECT c.cut, c.comuna, c.region, {QA}, round_even(100 * sum(area_m2) / 4000000.0, 3) AS cobertura_pct,
-    round_even(100 * coalesce(sum(area_m2) FILTER (WHERE riesgo), 0) / 4000000.0, 3) AS pct_riesgo, 4000000.0 AS area_comuna_m2,
+    round_even(100 * coalesce(sum(area_m2) FILTER (WHERE riesgo), 0) / 4000000.0, 3) AS pct_riesgo, 4e6 AS area_comuna_m2,
     round_even(100 * coalesce(sum(area_m2) FILTER (WHERE {CLASS_OF} = 'U1'), 0) / 4000000.0, 3) + round_even(100 * coalesce(sum(area_m2) FILTER (WHERE {CLASS_OF} = 'U2'), 0) / 4000000.0, 3)
     + round_even(100 * coalesce(sum(area_m2) FILTER (WHERE {CLASS_OF} = 'U3'), 0) / 4000000.0, 3) = 0 AS sin_urbano
     FROM pieces p JOIN comunas c ON c.cut = p.cut GROUP BY 1, 2, 3""")
@@ -74,7 +74,7 @@ def quality(spark, sf):
     return P.comuna_quality(pieces(spark, sf), shaped(spark, sf, "comunas"))
 
 
-@query("E2_overlap_metric", "feat_base feat comunas", """SELECT cut, 0.0 AS traslape_m2, true AS traslape_ok FROM comunas""")
+@query("E2_overlap_metric", "feat_base feat comunas", """SELECT cut, 0e0 AS traslape_m2, true AS traslape_ok FROM comunas""")
 def overlap(spark, sf):
     """The finished pieces do not overlap: their areas add up to the area of their union."""
     comunas, feat, risks = layers(spark, sf)
@@ -146,7 +146,7 @@ def without_comuna(spark, sf):
     round_even(100 * coalesce(sum(area_m2) FILTER (WHERE {CLASS_OF} = 'U1'), 0) / 4000000.0, 3) + round_even(100 * coalesce(sum(area_m2) FILTER (WHERE {CLASS_OF} = 'U2'), 0) / 4000000.0, 3)
     + round_even(100 * coalesce(sum(area_m2) FILTER (WHERE {CLASS_OF} = 'U3'), 0) / 4000000.0, 3) = 0 AS su FROM pieces GROUP BY cut)
     SELECT (SELECT count(*) FROM q) AS comunas, (SELECT count(*) FROM q WHERE su) AS comunas_sin_urbano, (SELECT min(cob) FROM q) AS cobertura_min_pct, (SELECT max(cob) FROM q) AS cobertura_max_pct,
-    count(*) AS piezas, coalesce(sum(CASE WHEN gid % 4 = 1 THEN 1 ELSE 0 END), 0) AS zonas_pri_a_revisar, {', '.join(f"count(*) FILTER (WHERE {CLASS_OF} = '{c}') AS piezas_{c}" for c in ('U1', 'U2', 'U3', 'E', 'R1', 'R2'))} FROM pieces""")
+    count(*) AS piezas, count(*) FILTER (WHERE gid % 4 = 1) AS zonas_pri_a_revisar, {', '.join(f"count(*) FILTER (WHERE {CLASS_OF} = '{c}') AS piezas_{c}" for c in ('U1', 'U2', 'U3', 'E', 'R1', 'R2'))} FROM pieces""")
 def summary(spark, sf):
     part = pieces(spark, sf).withColumn("revisar", F.coalesce(F.col("gid") % 4 == 1, F.lit(False)))
     return P.build_summary(part, P.comuna_quality(part, shaped(spark, sf, "comunas")))
@@ -191,7 +191,7 @@ def checks(spark, sf):
         .select("cut", "area_mayor_que_entrada", F.round(F.col("s") / F.col("land"), 9).alias("cubierto")))
 
 
-@query("E20_dissolved_outline", "feat_base feat comunas", "SELECT cut, 8000.0 AS perimetro, 4000000.0 AS area, 1 AS partes FROM comunas")
+@query("E20_dissolved_outline", "feat_base feat comunas", "SELECT cut, 8e3 AS perimetro, 4e6 AS area, 1 AS partes FROM comunas")
 def outline(spark, sf):
     """All pieces of a comuna dissolve to the comuna itself."""
     comunas, feat, risks = layers(spark, sf)
@@ -289,7 +289,7 @@ def card_requests(spark, sf):
     return relation(spark, sf, "points").withColumnRenamed("pid", "qid"), shaped(spark, sf, "lots").withColumnRenamed("rid", "qid")
 
 
-@query("D24_E12_point_cards", "feat_base feat points", """SELECT p.qid, f.fuente AS clase, f.ipt_tipo, f.ipt_nombre, f.zona, f.cut, 100.0 AS pct, CASE WHEN f.riesgo THEN 100.0 ELSE 0.0 END AS riesgo_pct
+@query("D24_E12_point_cards", "feat_base feat points", """SELECT p.qid, f.fuente AS clase, f.ipt_tipo, f.ipt_nombre, f.zona, f.cut, 1e2 AS pct, CASE WHEN f.riesgo THEN 1e2 ELSE 0e0 END AS riesgo_pct
     FROM (SELECT p.pid AS qid, min(f.gid) AS gid FROM points p JOIN feat f ON p.x BETWEEN f.x0 AND f.x1 AND p.y BETWEEN f.y0 AND f.y1 AND f.m BETWEEN p.m - 12 AND p.m + 1 GROUP BY p.pid) p JOIN feat f USING (gid)""")
 def point_cards(spark, sf):
     points, lots = card_requests(spark, sf)
@@ -309,7 +309,7 @@ def polygon_cards(spark, sf):
     return K.card_rows(K.shares(points.where(F.lit(False)), lots, layer, TILE), layer).drop("a")
 
 
-@query("D24_card_heads", "lots comunas", """SELECT l.rid AS qid, c.comuna, c.cut, c.region, 0.0 AS riesgo_pct, CASE WHEN c.cut IS NULL THEN 'fuera_dpa' ELSE 'completa' END AS cobertura FROM lots l LEFT JOIN comunas c ON l.cut = c.cut""")
+@query("D24_card_heads", "lots comunas", """SELECT l.rid AS qid, c.comuna, c.cut, c.region, 0e0 AS riesgo_pct, CASE WHEN c.cut IS NULL THEN 'fuera_dpa' ELSE 'completa' END AS cobertura FROM lots l LEFT JOIN comunas c ON l.cut = c.cut""")
 def card_heads(spark, sf):
     points, lots = card_requests(spark, sf)
     land = shaped(spark, sf, "comunas").withColumns({"pid": F.col("cut"), "riesgo": F.lit(False)})
@@ -317,7 +317,7 @@ def card_heads(spark, sf):
     return K.card_heads(lots.select("qid", F.lit(False).alias("es_punto")), share, land).drop("motivo")
 
 
-@query("D24_affectation_lines", "feat_base feat points", """SELECT p.pid AS qid, f.gid AS pid, f.ipt_tipo AS tipo, f.zona, left(f.zona_desc, 200) AS detalle, f.riesgo, 100.0 AS pct FROM points p JOIN feat f
+@query("D24_affectation_lines", "feat_base feat points", """SELECT p.pid AS qid, f.gid AS pid, f.ipt_tipo AS tipo, f.zona, left(f.zona_desc, 200) AS detalle, f.riesgo, 1e2 AS pct FROM points p JOIN feat f
     ON p.x BETWEEN f.x0 AND f.x1 AND p.y BETWEEN f.y0 AND f.y1 AND f.m BETWEEN p.m - 12 AND p.m + 1""")
 def affectation_lines(spark, sf):
     points, lots = card_requests(spark, sf)
