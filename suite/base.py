@@ -49,7 +49,7 @@ RELATIONS = {
                            WHEN 'STANDARD' THEN 'PRI_E' ELSE CASE WHEN gid % 2 = 0 THEN 'PRI_R' ELSE 'PRI_ENV' END END AS fuente,
                CAST(gid % 4 AS INT) AS rango, gid % 7 = 0 AS riesgo,
                CASE WHEN p_type IN ('PROMO', 'ECONOMY', 'SMALL') AND gid % 5 <> 0 THEN lpad(CAST(m AS STRING), 10, '0') END AS cut_ipt,
-               concat('Plan ', CAST(m % 7 AS STRING)) AS ipt_nombre,
+               concat('Plan ', CAST(CAST(floor(m / 7) AS BIGINT) AS STRING)) AS ipt_nombre,
                CASE WHEN gid % 11 <> 0 THEN concat('ZH', CAST(p_size % 4 AS STRING)) END AS zona,
                CASE WHEN gid % 3 <> 0 THEN p_name END AS zona_desc,
                lpad(CAST(m AS STRING), 10, '0') AS cut, concat('Comuna ', CAST(m AS STRING)) AS comuna,

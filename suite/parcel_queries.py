@@ -275,7 +275,7 @@ NORM = """CASE WHEN rid % 7 <> 0 THEN '0,6' END AS ocupacion_max, CASE WHEN rid
 
 
 def norms(spark, sf):
-    return relation(spark, sf, "lots").selectExpr("rid", "0 AS nid", *re.split(r",\s*(?=CASE)", NORM), "'aislado' AS agrupamiento", "CASE WHEN rid % 2 = 0 THEN 'VALIDADO' ELSE 'BORRADOR' END AS estado", "concat('Plan ', m % 7) AS ipt_nombre", "'ZH1' AS zona")
+    return relation(spark, sf, "lots").selectExpr("rid", "0 AS nid", *re.split(r",\s*(?=CASE)", NORM), "'aislado' AS agrupamiento", "CASE WHEN rid % 2 = 0 THEN 'VALIDADO' ELSE 'BORRADOR' END AS estado", "concat('Plan ', CAST(floor(m / 7) AS BIGINT)) AS ipt_nombre", "'ZH1' AS zona")
 
 
 POSSIBLE = f"""nm AS (SELECT rid, x1 - x0 AS bw, y1 - y0 AS bh, CASE WHEN rid % 7 <> 0 THEN 0.6 END::DOUBLE AS occ, (CASE WHEN rid % 3 = 0 THEN 1 ELSE 3.5 END)::DOUBLE AS cons, (CASE WHEN rid % 4 <> 0 THEN 14 END)::DOUBLE AS am, CASE WHEN rid % 8 = 0 THEN 2 END AS ap,
@@ -314,7 +314,7 @@ def parcel_volume(spark, sf):
     return v.select("rid", "clase", "ipt_nombre", "zona", "n_zonas", "n_edificios", "m2_existente")
 
 
-@query("E22_C15_zone_candidates", "feat_base feat lots buildings", """WITH z AS (SELECT * FROM feat WHERE ipt_tipo = 'PRC' AND ipt_nombre = 'Plan 3'),
+@query("E22_C15_zone_candidates", "feat_base feat lots buildings", """WITH z AS (SELECT * FROM feat WHERE ipt_tipo = 'PRC' AND ipt_nombre = 'Plan 1'),
     b AS (SELECT z.zona, count(*) AS nb, round_even(100 * count(b.height) / count(*), 1) AS ph FROM z JOIN buildings b ON (b.x0 + b.x1) / 2 > z.x0 AND (b.x0 + b.x1) / 2 < z.x1 AND (b.y0 + b.y1) / 2 > z.y0 AND (b.y0 + b.y1) / 2 < z.y1 GROUP BY 1),
     p AS (SELECT z.zona, count(*) AS np FROM z JOIN lots b ON (b.x0 + b.x1) / 2 > z.x0 AND (b.x0 + b.x1) / 2 < z.x1 AND (b.y0 + b.y1) / 2 > z.y0 AND (b.y0 + b.y1) / 2 < z.y1 GROUP BY 1),
     s AS (SELECT zona, arg_min(zona_desc, gid) FILTER (WHERE zona_desc IS NOT NULL) AS descripcion, sum((x1 - x0) * (y1 - y0)) AS m2, sum(CASE WHEN riesgo THEN (x1 - x0) * (y1 - y0) ELSE 0 END) AS r, count(*) AS piezas FROM z GROUP BY 1)
@@ -323,7 +323,7 @@ def parcel_volume(spark, sf):
 def candidates(spark, sf):
     pieces = shaped(spark, sf, "feat").withColumnRenamed("gid", "pid")
     links = pieces.select("ipt_tipo", "ipt_nombre", F.lit(None).cast("string").alias("ordenanza_url"))
-    c = V.zone_candidates(pieces, "plan_3", volume_buildings(spark, sf), shaped(spark, sf, "lots"), links, TILE)
+    c = V.zone_candidates(pieces, "plan_1", volume_buildings(spark, sf), shaped(spark, sf, "lots"), links, TILE)
     return c.drop("residencial", "ordenanza_url", "cut")
 
 

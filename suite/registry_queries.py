@@ -290,15 +290,16 @@ def contract_table(spark, sf):
     return spark.sql(CONTRACTS.replace("[part]", "{p}"), p=table(spark, sf, "part"))
 
 
-@query("D21_relevant_sources", "feat_base feat", """SELECT gid AS qid, s_suppkey AS id FROM feat JOIN supplier ON s_suppkey % 6 NOT IN (4, 5) AND (CASE s_suppkey % 3 WHEN 0 THEN fuente IN ('PRC', 'LU') WHEN 1 THEN fuente = 'PRI_E' ELSE fuente = 'SECCIONAL' END)
-    AND (s_suppkey % 4 <> 1 OR substr(lpad(CAST(m % 50 AS VARCHAR), 2, '0'), 1, 2) = lpad(CAST(s_nationkey AS VARCHAR), 2, '0'))""")
+@query("D21_relevant_sources", "feat_base feat", """SELECT gid AS qid, n_nationkey AS id FROM feat JOIN nation ON n_nationkey % 6 NOT IN (4, 5) AND (CASE n_nationkey % 3 WHEN 0 THEN fuente IN ('PRC', 'LU') WHEN 1 THEN fuente = 'PRI_E' ELSE fuente = 'SECCIONAL' END)
+    AND (n_nationkey % 4 <> 1 OR lpad(CAST(m % 50 AS VARCHAR), 2, '0') = lpad(CAST(n_nationkey AS VARCHAR), 2, '0'))""")
 def relevant(spark, sf):
+    """Cards against a fixed list of contracts, one per nation."""
     cards = relation(spark, sf, "feat").select(F.col("gid").alias("qid"), F.lpad((F.col("m") % 50).cast("string"), 2, "0").alias("cut"), F.array("fuente").alias("clases"))
-    k = F.col("s_suppkey")
-    states = F.array(*[F.lit(s) for s in ("propuesta", "contrato", "mapeada", "latente", "activa", "mantenida")])
-    contracts = table(spark, sf, "supplier").select(
+    k = F.col("n_nationkey")
+    states = F.array(*[F.lit(s) for s in CT.STATES])
+    contracts = table(spark, sf, "nation").select(
         k.alias("id"), F.get(states, (k % 6).cast("int")).alias("estado"), F.when(k % 3 == 0, F.array(F.lit("PRC"), F.lit("LU"))).when(k % 3 == 1, F.array(F.lit("PRI_E"))).otherwise(F.array(F.lit("SECCIONAL"))).alias("clases"),
-        F.when(k % 4 == 1, F.array(F.lpad(F.col("s_nationkey").cast("string"), 2, "0"))).alias("regiones"))
+        F.when(k % 4 == 1, F.array(F.lpad(k.cast("string"), 2, "0"))).alias("regiones"))
     return D.relevant_sources(cards, contracts)
 
 

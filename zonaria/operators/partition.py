@@ -149,16 +149,17 @@ def partition_shapes(comunas: DataFrame, features: DataFrame, risks: DataFrame |
                      rules: LandRules = LandRules()) -> DataFrame:
     """The partition with its ground: one row per trapezoid (cut, clase, fuente, gid, riesgo, lo, hi, xl0…xr1)."""
     corners = ["lo", "hi", "xl0", "xl1", "xr0", "xr1"]
-    cell = cells(comunas, features, risks, size, shapes=True)
-    won = award_by_level(cell, rules.min_area)
+    cell = truncate_lineage(cells(comunas, features, risks, size, shapes=True))
+    names = [f"w{k}" for k in range(len(CLASS_ORDER))]
+    mark = F.concat_ws("|", "cut", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in names], F.col("en_riesgo").cast("string"))
     by_piece = W.partitionBy("cut", "level", "gid")
-    a_in = F.sum(F.when(F.col("en_riesgo"), F.col("area")).otherwise(0.0)).over(by_piece)
-    a_out = F.sum(F.when(F.col("en_riesgo"), 0.0).otherwise(F.col("area"))).over(by_piece)
-    flagged = won.withColumns({"a_in": a_in, "a_out": a_out}).where(F.col("a_in") + F.col("a_out") >= rules.min_area)
-    risk = (F.when(F.col("a_in") < rules.min_area, False).when(F.col("a_out") < rules.min_area, True)
-            .otherwise(F.col("en_riesgo")))
-    return flagged.select("cut", level_class(F.col("level")).alias("clase"), level_source(F.col("level")).alias("fuente"),
-                          "gid", risk.alias("riesgo"), "area", *corners)
+    won = award(signatures(cell), rules.min_area).withColumns({
+        "a_in": F.sum(F.when(F.col("en_riesgo"), F.col("area")).otherwise(0.0)).over(by_piece),
+        "a_out": F.sum(F.when(F.col("en_riesgo"), 0.0).otherwise(F.col("area"))).over(by_piece)})
+    risk = (F.when(F.col("a_in") < rules.min_area, False).when(F.col("a_out") < rules.min_area, True).otherwise(F.col("en_riesgo")))
+    decided = won.where(F.col("a_in") + F.col("a_out") >= rules.min_area).select(mark.alias("_m"), "level", "gid", risk.alias("riesgo"))
+    placed = cell.select("cut", "area", *corners, mark.alias("_m")).join(decided, "_m")
+    return placed.select("cut", level_class(F.col("level")).alias("clase"), level_source(F.col("level")).alias("fuente"), "gid", "riesgo", "area", *corners)
 
 
 def trapezoid() -> Column:
@@ -170,14 +171,19 @@ def trapezoid() -> Column:
 
 
 def piece_ids(pieces: DataFrame) -> DataFrame:
-    """``id`` = cut-00000, a running number over all pieces in comuna order. The number is the offset of the comuna
-    (running sum over one row per comuna) plus the rank inside the comuna, so no task holds all pieces."""
-    order = [source_level(F.col("fuente")).asc_nulls_last(), F.col("gid"), F.col("riesgo")]
-    counts = pieces.groupBy("cut").agg(F.count("*").alias("n"))
-    offsets = counts.select("cut", (F.sum("n").over(W.orderBy("cut")) - F.col("n")).alias("base"))
-    rank = F.row_number().over(W.partitionBy("cut").orderBy(*order)) - 1
-    return (pieces.withColumn("_r", rank).join(offsets, "cut")
-            .withColumn("id", F.concat_ws("-", "cut", F.format_string("%05d", F.col("base") + F.col("_r")))).drop("_r", "base"))
+    """``id`` = cut-00000, a running number over all pieces in comuna order.
+
+    Rows are range-partitioned in that order and written once to the shared checkpoint folder; the number is the rank
+    inside the range plus the rows of the earlier ranges, so neither a large comuna nor the whole table meets in a task.
+    """
+    ordered = pieces.withColumns({"_l": F.coalesce(source_level(F.col("fuente")), F.lit(99)), "_g": F.coalesce(F.col("gid"), F.lit(-1))})
+    keys = ["cut", "_l", "_g", "riesgo"]
+    ranged = truncate_lineage(ordered.repartitionByRange(*keys).withColumn("_p", F.spark_partition_id()))
+    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
+    starts = sizes.select("_p", (F.sum("_n").over(W.orderBy("_p")) - F.col("_n")).alias("_s"))     # one row per range
+    rank = F.row_number().over(W.partitionBy("_p").orderBy(*keys)) - 1
+    return (ranged.withColumn("_r", rank).join(F.broadcast(starts), "_p")
+            .withColumn("id", F.concat_ws("-", "cut", F.format_string("%05d", F.col("_s") + F.col("_r")))).drop("_l", "_g", "_p", "_r", "_s"))
 
 
 def comuna_quality(pieces: DataFrame, comunas: DataFrame) -> DataFrame:

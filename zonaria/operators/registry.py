@@ -124,27 +124,36 @@ def server_base(inventory: DataFrame, partition: DataFrame) -> DataFrame:
 
 def match(server: DataFrame, families_: DataFrame) -> DataFrame:
     """Best registry family for every (ipt_tipo, ipt_nombre, cut): candidates of the first registry type present in the
-    comuna, scored by shared significant words; a single candidate is accepted without shared words."""
+    comuna, scored by shared significant words; a single candidate is accepted without shared words.
+
+    Names with the same words are compared once, families with the same words are represented by the latest, and only
+    names that share a word meet, so a comuna with many instruments does not pair all with all.
+    """
     wanted = (server.where(F.col("ipt_nombre").isNotNull() & F.col("cut").isNotNull()).select("ipt_tipo", "ipt_nombre", "cut").distinct()
               .where(F.col("ipt_tipo").isin(*LAYER_TYPES)))
-    types = F.create_map(*[v for k, ts in LAYER_TYPES.items() for v in (F.lit(k), F.array(*[F.lit(t) for t in ts]))])
-    asked = wanted.select("*", F.posexplode(F.element_at(types, F.col("ipt_tipo"))).alias("pref", "tipo"),
-                          X.significant_tokens(F.col("ipt_nombre")).alias("ta"))
-    fam = families_.withColumn("cut", F.explode("comunas")).withColumn("tb", X.significant_tokens(F.col("denominacion"))).drop("comunas")
-    pairs = asked.join(fam, ["cut", "tipo"])
-    score = F.size(F.array_intersect("ta", "tb")) / F.greatest(F.lit(1), F.size(F.array_union("ta", "tb")))
-    pairs = pairs.withColumn("score", score)
     keys = ["ipt_tipo", "ipt_nombre", "cut"]
-    fields = F.struct("id", "tipo", "denominacion", "norma", "fecha", "ultima_modificacion", "n_modificaciones", "ordenanza_url", "score")
-    per_type = pairs.groupBy(*keys, "pref").agg(
-        F.max_by(fields, F.struct(F.col("score"), F.coalesce("fecha", F.lit("")).alias("d"), (-F.col("id")).alias("i"))).alias("f"), F.count("*").alias("n"))
-    best = per_type.groupBy(*keys).agg(F.min_by(F.struct("f", "n"), "pref").alias("b"))
-    trust = F.when(F.col("b.f.score") > 0, "alta").when(F.col("b.n") == 1, "unica").otherwise("baja")
-    return best.withColumn("confianza", trust).where("confianza <> 'baja'").select(
-        *keys, F.col("b.f.id").alias("portal_id"), F.col("b.f.tipo").alias("portal_tipo"), F.col("b.f.denominacion").alias("denominacion"),
-        F.col("b.f.norma").alias("norma"), F.col("b.f.fecha").alias("fecha_vigencia"), F.col("b.f.ultima_modificacion").alias("ultima_modificacion"),
-        F.col("b.f.n_modificaciones").alias("n_modificaciones"), F.col("b.f.ordenanza_url").alias("ordenanza_url"),
-        half_even("b.f.score", 3).alias("score"), "confianza")
+    types = F.create_map(*[v for k, ts in LAYER_TYPES.items() for v in (F.lit(k), F.array(*[F.lit(t) for t in ts]))])
+    asked = wanted.select("*", F.posexplode(F.element_at(types, F.col("ipt_tipo"))).alias("pref", "tipo"))
+    fields = F.struct("id", "tipo", "denominacion", "norma", "fecha", "ultima_modificacion", "n_modificaciones", "ordenanza_url")
+    latest = F.struct(F.coalesce("fecha", F.lit("")).alias("d"), (-F.col("id")).alias("i"))
+    local = families_.withColumn("cut", F.explode("comunas")).select(
+        "cut", "tipo", F.array_sort(X.significant_tokens(F.col("denominacion"))).alias("tb"), fields.alias("f"), latest.alias("o"))
+    present = local.groupBy("cut", "tipo").agg(F.count("*").alias("n"), F.max_by("f", "o").alias("only"))
+    chosen = (asked.join(present, ["cut", "tipo"]).groupBy(*keys).agg(F.min_by(F.struct("tipo", "n", "only"), "pref").alias("c"))
+              .select(*keys, "c.*", F.array_sort(X.significant_tokens(F.col("ipt_nombre"))).alias("ta")))
+    known = local.groupBy("cut", "tipo", "tb").agg(F.max_by("f", "o").alias("f"), F.max("o").alias("o"))
+    probes = chosen.select("cut", "tipo", "ta").distinct().select("*", F.explode("ta").alias("word"))
+    shared = (probes.join(known.select("*", F.explode("tb").alias("word")), ["cut", "tipo", "word"])
+              .groupBy("cut", "tipo", "ta", "tb").agg(F.count("*").alias("k"), F.first("f").alias("f"), F.first("o").alias("o")))
+    score = F.col("k") / (F.size("ta") + F.size("tb") - F.col("k"))
+    best = (shared.withColumn("score", score).groupBy("cut", "tipo", "ta")
+            .agg(F.max_by("f", F.struct("score", "o")).alias("f"), F.max("score").alias("score")))
+    joined = chosen.join(best, ["cut", "tipo", "ta"], "left").where(F.col("f").isNotNull() | (F.col("n") == 1))
+    joined = joined.withColumns({"confianza": F.when(F.col("f").isNotNull(), "alta").otherwise("unica"), "score": F.coalesce("score", F.lit(0.0)), "b": F.coalesce("f", "only")})
+    return joined.select(
+        *keys, F.col("b.id").alias("portal_id"), F.col("b.tipo").alias("portal_tipo"), F.col("b.denominacion").alias("denominacion"),
+        F.col("b.norma").alias("norma"), F.col("b.fecha").alias("fecha_vigencia"), F.col("b.ultima_modificacion").alias("ultima_modificacion"),
+        F.col("b.n_modificaciones").alias("n_modificaciones"), F.col("b.ordenanza_url").alias("ordenanza_url"), half_even("score", 3).alias("score"), "confianza")
 
 
 def attach_validity(pieces: DataFrame, matches: DataFrame) -> DataFrame:
