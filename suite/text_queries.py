@@ -8,6 +8,7 @@ from zonaria.functions import crs as C
 from zonaria.functions import geometry as G
 from zonaria.functions import scales as S
 from zonaria.functions import text as X
+from zonaria.operators.tiling import spread
 
 from .base import query, relation, shaped, table
 
@@ -21,7 +22,7 @@ def norm(c: str) -> str:
 @query("I1_norm_text", sql=f"SELECT doc_id, md5({norm('text')}) AS clave, length({norm('text')}) AS largo FROM documents")
 def norm_text(spark, sf):
     n = X.norm_text(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.md5(n).alias("clave"), F.length(n).alias("largo"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.md5(n).alias("clave"), F.length(n).alias("largo"))
 
 
 @query("I2_slugs", sql=fr"""SELECT page_id, regexp_replace(regexp_replace(url, '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS servicio,
@@ -72,7 +73,7 @@ def tokens_sql(c: str) -> str:
 @query("I6_significant_tokens", sql=f"SELECT doc_id, len({tokens_sql('text')}) AS n, md5(array_to_string(list_sort({tokens_sql('text')}), ' ')) AS palabras FROM documents")
 def tokens(spark, sf):
     t = X.significant_tokens(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.size(t).alias("n"), F.md5(F.array_join(F.array_sort(t), " ")).alias("palabras"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.size(t).alias("n"), F.md5(F.array_join(F.array_sort(t), " ")).alias("palabras"))
 
 
 @query("I7_id_list", sql="""SELECT l_orderkey, l_linenumber, 3 AS n, CAST(l_partkey + l_suppkey + l_orderkey AS BIGINT) AS suma FROM lineitem""")

@@ -47,7 +47,7 @@ def families(instruments: DataFrame) -> DataFrame:
     instruments(id, tipo, planificacion, denominacion, comunas array, clasificacion, numeroDocumento,
     fechaInicioVigencia, documentos, instrumentosDescendientesIds).
     """
-    edges = descendant_edges(instruments)
+    edges = truncate_lineage(descendant_edges(instruments))       # read again in every round
     reached = edges.select(F.col("child").alias("id")).distinct().withColumn("_r", F.lit(True))
     roots = (instruments.join(reached, "id", "left")
              .where((F.coalesce(F.col("clasificacion") == "Instrumento de origen", F.lit(False))) | F.col("_r").isNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tiling import small_side
+from .tiling import estimated_bytes, small_side
 
 HOT_ROWS = 500_000
 SALT_BYTES = 4 << 30        # below this estimate the runtime skew-join split is enough and no keys are counted
@@ -26,11 +26,6 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], row_id: str,
     return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size the optimizer expects, from file sizes; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows and the number of salts each needs (partial counts before the shuffle)."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)

@@ -13,7 +13,12 @@ CAPACITY = 4_000
 
 def _pieces(polygons: DataFrame, key: str, size: float, crowded, margin: float) -> DataFrame:
     cut = tile_pieces(polygons.select(key, "geom"), size, crowded, margin)
-    return cut.select(key, *TILE, G.edges(F.col("geom")).alias("es"))
+    return cut.select(key, *TILE, G.edges(F.col("geom")).alias("es"), G.bbox(F.col("geom")).alias("b"))
+
+
+def _near(x: Column, y: Column, reach: float = 0.0) -> Column:
+    """Plain comparisons with the box of the piece, before any edge is looked at."""
+    return (x >= F.col("b.xmin") - reach) & (x <= F.col("b.xmax") + reach) & (y >= F.col("b.ymin") - reach) & (y <= F.col("b.ymax") + reach)
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, predicate: str = "within",
@@ -25,7 +30,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, pred
     pieces = _pieces(polygons, "gid", size, crowded, margin=size * 1e-3)
     joined = salted_join(placed, pieces, TILE, "pid", hot_rows=hot_rows)
     test = G.point_within if predicate == "within" else G.point_intersects
-    return joined.where(test(F.col("es"), F.col("x"), F.col("y"))).select("pid", "gid")
+    return joined.where(_near(F.col("x"), F.col("y"))).where(test(F.col("es"), F.col("x"), F.col("y"))).select("pid", "gid")
 
 
 def points_semi(points: DataFrame, polygons: DataFrame, size: float, predicate: str = "within") -> DataFrame:
@@ -56,7 +61,9 @@ def polygons_intersect(left: DataFrame, right: DataFrame, size: float, hot_rows:
     crowded = crowded_tiles(both, size, CAPACITY)
     margin = size * 1e-3
     joined = salted_join(_pieces(left, "lid", size, crowded, margin),
-                         _pieces(right, "rid", size, crowded, margin).withColumnRenamed("es", "fs"), TILE, "lid", hot_rows=hot_rows)
+                         _pieces(right, "rid", size, crowded, margin).withColumnsRenamed({"es": "fs", "b": "c"}), TILE, "lid", hot_rows=hot_rows)
+    joined = joined.where((F.col("b.xmin") <= F.col("c.xmax")) & (F.col("b.xmax") >= F.col("c.xmin"))
+                          & (F.col("b.ymin") <= F.col("c.ymax")) & (F.col("b.ymax") >= F.col("c.ymin")))
 
     def start(es: Column) -> Column:
         return F.get(es, F.lit(0))
@@ -79,6 +86,7 @@ def near_candidates(points: DataFrame, polygons: DataFrame, max_distance: float,
     if own_prefix is not None:
         joined = joined.where(F.substring_index("pid", own_prefix, 1) == F.substring_index("gid", own_prefix, 1))
     x, y = F.col("x"), F.col("y")
+    joined = joined.where(_near(x, y, max_distance))
     distance = F.when(G.covers_inside(F.col("es"), x, y), 0.0).otherwise(G.boundary_distance(F.col("es"), x, y))
     rows = joined.select("pid", "gid", G.point_within(F.col("es"), x, y).alias("within"), distance.alias("distance"))
     return rows.where(F.col("distance") <= max_distance)

@@ -11,6 +11,18 @@ MAX_LEVEL = 6               # a crowded tile is split at most into 4**6 sub-tile
 TILE = ["lv", "tx", "ty"]
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size the optimizer expects, from file sizes; no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame, per_task: int = 32 << 20) -> DataFrame:
+    """Small inputs that arrive in one file split are dealt out to all cores before costly row work; anything that
+    already fills the cores by its size is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_bytes(df) < cores * per_task else df
+
+
 def floor_cell(value: Column, size: Column | float) -> Column:
     return F.floor(value / size).cast("bigint")
 
@@ -67,7 +79,7 @@ def tile_pieces(df: DataFrame, size: float, crowded: DataFrame | None = None, ma
     Geometries lying in one tile pass through uncut. The others are cut to rows of tiles first and then to
     tiles, so that each cut works on an already reduced ring.
     """
-    box = df.withColumn("_b", G.bbox(F.col(geom))).where(F.col("_b.xmin").isNotNull())
+    box = spread(df).withColumn("_b", G.bbox(F.col(geom))).where(F.col("_b.xmin").isNotNull())
 
     def outside(axis: str, step: str) -> str:
         return f"_b.{axis}min < t{axis} * {step} - {margin} OR _b.{axis}max > (t{axis} + 1) * {step} + {margin}"
