@@ -1,21 +1,20 @@
 """What the text operators share: the shared folder, batches of bounded size, words, connected components."""
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, StructType
 
-WORD = "[^\\x20\\x09-\\x0D]+"
-
+from ..session import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``, or the warehouse where none is named."""
-    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -27,6 +26,20 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have shuffle files that nothing refers to any more removed now, not when the driver next collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that the texts of one hold at most ``limit`` bytes (a single longer text stands alone)."""
     for batch in batches:
@@ -45,8 +58,22 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
-def binary_of(values: list[bytes]) -> pa.Array:
-    return pa.array(values, type=pa.binary())
+def grouped_with(rows: DataFrame, key: Column, answers: DataFrame, answer_key: str, use: Callable[[pa.Table, pa.Table], pa.Table], schema: StructType | str) -> DataFrame:
+    """``use(rows, answers)`` for each key, on one exchange of both tables. Keys of ``answers`` alone are left out."""
+    left = rows.select(key.cast("long").alias("key"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
+    right = answers.select(F.col(answer_key).cast("long").alias("key"), F.struct(*answers.columns).alias("answer"))
+    both = left.withColumn("answer", F.lit(None).cast(right.schema["answer"].dataType)).unionByName(right.withColumn("row", F.lit(None).cast(left.schema["row"].dataType)))
+    empty = to_arrow_schema(schema if isinstance(schema, StructType) else DataType.fromDDL(schema))
+
+    def side(table: pa.Table, name: str) -> pa.Table:
+        held = table.column(name).filter(pa.compute.is_valid(table.column(name))).combine_chunks()
+        return pa.Table.from_batches([pa.RecordBatch.from_struct_array(c) for c in (held.chunks if isinstance(held, pa.ChunkedArray) else [held])])
+
+    def run(table: pa.Table) -> pa.Table:
+        own = side(table, "row")
+        return use(own, side(table, "answer")) if own.num_rows else empty.empty_table()
+
+    return both.groupBy("key").applyInArrow(run, schema)
 
 
 def signed(values: np.ndarray) -> np.ndarray:
