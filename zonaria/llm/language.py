@@ -120,7 +120,7 @@ def learn(examples: DataFrame, text_col: str = "zona_desc", label_col: str = "id
         return LanguageModel(idf, np.zeros((0, FEATURES), np.float32), [], np.zeros(0))
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "texto"), F.lit(1_000_000))
     wanted = F.element_at(F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]), F.col("idioma"))
-    some = known.where(drawn < wanted * 1_000_000)
+    some = known.where(drawn < wanted * 1_000_000).distinct()
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letter = letters_table()

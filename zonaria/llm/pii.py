@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free_name, stored
 
 # The kinds in their order, and what a match looks like. The patterns match what the plain ones of the
 # README match; runs are possessive and start at their first character, so that no text takes more than linear time.
@@ -151,7 +151,8 @@ def sanitised(features: DataFrame, id_col: str = "gid", text_col: str = "zona_de
 
     Overlapping spans become one, named after the first. All columns and rows stay; null texts stay null.
     """
-    marks = personal_data(features, id_col, text_col, disclosure, support).where(F.size("spans") > 0).groupBy(F.col("digest").alias("_digest")).agg(F.first("spans").alias("_spans"))
+    key, of, found = (free_name(features, n) for n in ("_text", "_digest", "_spans"))
+    marks = personal_data(features, id_col, text_col, disclosure, support).where(F.size("spans") > 0).groupBy(F.col("digest").alias(of)).agg(F.first("spans").alias(found))
     text = F.col(text_col)
     label = F.array(*[F.lit(f"[{k}]") for k in KINDS], F.lit("[]"))
 
@@ -165,6 +166,6 @@ def sanitised(features: DataFrame, id_col: str = "gid", text_col: str = "zona_de
 
         return F.aggregate(spans, start, add, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.char_length(text))))
 
-    joined = features.withColumn("_text", F.xxhash64(text, F.octet_length(text))).join(marks, F.col("_text") == F.col("_digest"), "left")
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNotNull(), replaced(F.col("_spans"))).otherwise(text)).select(*features.columns)
+    joined = features.withColumn(key, F.xxhash64(text, F.octet_length(text))).join(marks, F.col(key) == F.col(of), "left")
+    return joined.withColumn(text_col, F.when(F.col(found).isNotNull(), replaced(F.col(found))).otherwise(text)).select(*[F.col(f"`{c}`") for c in features.columns])
 

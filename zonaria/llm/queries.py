@@ -6,7 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, passages, sharding, simhash
+import corpus_pipeline
+
+from . import fluency, language, neighbours, packing, passages, pieces, pii, quality, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,17 +34,70 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(pieces).select(F.col("gid").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode_texts(documents(spark, sf_dir)).withColumn("n_ids", (F.octet_length("ids") / 4).cast("long")).withColumn("ids_crc32", F.crc32("ids"))
+    return pieces.decode_texts(encoded).select(F.col("gid").alias("doc_id"), "n_ids", "ids_crc32", F.crc32(F.encode("zona_desc", "UTF-8")).alias("decoded_crc32"))
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = (*pii.KINDS, "term")
+    names = F.array(*[F.lit(k) for k in kinds])
+
+    def count(k: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{kinds[k]}")
+
+    def digest(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat(names[s["kind"]], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] < len(pii.KINDS))
+    return pii.personal_data(documents(spark, sf_dir)).select(
+        F.col("gid").alias("doc_id"), *[count(k) for k in range(len(pii.KINDS))], F.sha2(digest(base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select(F.col("gid").alias("doc_id"), "fingerprint", F.col("grupo").alias("component_id"))
 
 
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rated(documents(spark, sf_dir)).withColumnRenamed("gid", "doc_id")
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.without_repeated_passages(documents(spark, sf_dir)).select(
         F.col("gid").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id % 100 = 0", "vec_id", "embedding")
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language.learn(descriptions(docs.where(~held_out), F.col("lang").alias("idioma")))
+    found = language.identify(descriptions(docs), model).withColumnRenamed("gid", "doc_id")
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("idioma").alias("lang_pred"), "score", "distance", "rejected")
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select(F.col("doc_id").alias("gid"))
+    return fluency.rate(documents(spark, sf_dir, F.col("lang").alias("idioma")), trusted).select(
+        F.col("gid").alias("doc_id"), F.col("idioma").alias("lang"), "perplexity", "threshold", "kept")
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir)).withColumnRenamed("gid", "doc_id")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

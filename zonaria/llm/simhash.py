@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, local_roots, signed, stored, text_batches, texts_of
+from .common import components, free_name, local_roots, signed, stored, text_batches, texts_of
 
 SHINGLE = 4
 RADIUS = 4
@@ -144,7 +144,7 @@ def near_duplicates(features: DataFrame, id_col: str = "gid", text_col: str = "z
 def without_near_duplicates(features: DataFrame, id_col: str = "gid", text_col: str = "zona_desc") -> DataFrame:
     """The features that stay: of each group the row with the smallest id (one row where several share it, by their text
     hash); rows without an id always stay. All columns are kept."""
-    groups = near_duplicates(features, id_col, text_col)
-    keep = groups.where(F.col(id_col).isNotNull() & (F.col(id_col) == F.col("grupo"))).select(F.col(id_col).alias("_kept")).distinct()
-    stay = features.join(keep, features[id_col] == F.col("_kept"), "left_semi")
+    groups, kept = near_duplicates(features, id_col, text_col), free_name(features, "_kept")
+    keep = groups.where(F.col(id_col).isNotNull() & (F.col(id_col) == F.col("grupo"))).select(F.col(id_col).alias(kept)).distinct()
+    stay = features.join(keep, features[id_col] == F.col(kept), "left_semi")
     return stay.dropDuplicates([id_col]).unionByName(features.where(F.col(id_col).isNull()))
