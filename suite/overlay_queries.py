@@ -53,6 +53,14 @@ def partition(spark, sf):
     return pieces(spark, sf).select("cut", "clase", "gid", "riesgo", "area_m2")
 
 
+@query("D7_local_risk", "feat_base feat comunas", f"""{FULL.replace("bool_or(f.riesgo)", "bool_or(f.riesgo AND (f.cut_ipt IS NULL OR f.cut_ipt = c.cut))")}
+    SELECT cut, {CLASS_OF} AS clase, gid, riesgo, area_m2 FROM pieces""")
+def local_risk(spark, sf):
+    """Risks of one comuna's instruments reach over its border: the neighbour's ground is not at risk."""
+    comunas, feat, _ = layers(spark, sf)
+    return P.partition(comunas, feat, feat.where("riesgo").select("gid", "cut_ipt", "geom"), TILE).select("cut", "clase", "gid", "riesgo", "area_m2")
+
+
 @query("D6_remainder_rural", "feat_base feat comunas", f"{FULL} SELECT cut, sum(area_m2) AS area_m2 FROM pieces WHERE gid IS NULL GROUP BY cut")
 def remainder(spark, sf):
     return pieces(spark, sf).where("clase = 'R2'").groupBy("cut").agg(F.sum("area_m2").alias("area_m2"))

@@ -300,18 +300,29 @@ def compared(spark, sf):
     return V.compare(V.existing(lots, volume_buildings(spark, sf), TILE), V.possible(lots.select("rid", "geom"), norms(spark, sf))).select("rid", "iov", "remanente_m2", "estado_iov")
 
 
+ZONE_POSSIBLE = POSSIBLE.replace("FROM lots)", "FROM zl)").replace("rid % ", "r0 % ")
+
+
 @query("M3_parcel_volume", "feat_base feat lots buildings", f"""WITH {EXIST}, sh AS (SELECT l.rid, f.fuente, f.ipt_tipo, f.ipt_nombre, f.zona, f.cut, sum((least(f.x1, l.x1) - greatest(f.x0, l.x0)) * (least(f.y1, l.y1) - greatest(f.y0, l.y0))) AS a
     FROM lots l JOIN feat f ON f.x0 < l.x1 AND f.x1 > l.x0 AND f.y0 < l.y1 AND f.y1 > l.y0 AND f.m BETWEEN l.m - 12 AND l.m + 1 GROUP BY 1, 2, 3, 4, 5, 6),
-    z AS (SELECT rid, arg_min(struct_pack(c := fuente, i := ipt_nombre, z := zona), (-a, coalesce(fuente, ''), coalesce(zona, ''))) AS z, count(*) AS n_zonas FROM sh GROUP BY rid)
-    SELECT z.rid, z.z.c AS clase, z.z.i AS ipt_nombre, z.z.z AS zona, z.n_zonas, coalesce(e.n, 0) AS n_edificios, round_even(coalesce(e.m2, 0), 1) AS m2_existente FROM z LEFT JOIN e USING (rid)""")
+    z AS (SELECT rid, arg_min(struct_pack(c := fuente, i := ipt_nombre, z := zona), (-a, coalesce(fuente, ''), coalesce(zona, ''))) AS z, count(*) AS n_zonas FROM sh GROUP BY rid),
+    zn AS (SELECT concat('Plan ', CAST(CAST(floor(m / 7) AS BIGINT) AS VARCHAR)) AS ipt, min(rid) AS r0 FROM lots GROUP BY 1),
+    zl AS (SELECT l.rid, zn.r0, l.x0, l.y0, l.x1, l.y1 FROM lots l JOIN z ON z.rid = l.rid AND z.z.z = 'ZH1' JOIN zn ON zn.ipt = z.z.i),
+    {ZONE_POSSIBLE}
+    SELECT z.rid, z.z.c AS clase, z.z.i AS ipt_nombre, z.z.z AS zona, z.n_zonas, coalesce(e.n, 0) AS n_edificios, round_even(coalesce(e.m2, 0), 1) AS m2_existente,
+    po.estado AS estado_norma, po.m2_max, CASE WHEN po.estado = 'ok' AND m2_max <> 0 THEN round_even(round_even(coalesce(e.m2, 0), 1) / m2_max, 3) END AS iov,
+    CASE WHEN po.rid IS NULL THEN NULL WHEN po.estado <> 'ok' OR m2_max = 0 THEN 'sin_dato' WHEN round_even(coalesce(e.m2, 0), 1) / m2_max < 0.8 THEN 'holgura' WHEN round_even(coalesce(e.m2, 0), 1) / m2_max <= 1 THEN 'al_limite' ELSE 'excede' END AS estado_iov,
+    coalesce(zl.r0 % 2 <> 0, false) AS borrador FROM z LEFT JOIN e USING (rid) LEFT JOIN po ON po.rid = z.rid LEFT JOIN zl ON zl.rid = z.rid""")
 def parcel_volume(spark, sf):
     from zonaria.operators import cards as K
 
     layer = shaped(spark, sf, "feat").withColumnRenamed("gid", "pid").withColumn("clase", F.col("fuente"))
     lots = shaped(spark, sf, "lots").select(F.col("rid").alias("qid"), "geom")
-    rules = norms(spark, sf).limit(1)
-    v = K.parcel_volume(lots, layer, rules.drop("rid"), volume_buildings(spark, sf), TILE)
-    return v.select("rid", "clase", "ipt_nombre", "zona", "n_zonas", "n_edificios", "m2_existente")
+    rows = norms(spark, sf)
+    rest = [c for c in rows.columns if c not in ("rid", "ipt_nombre", "zona")]
+    rules = rows.groupBy("ipt_nombre", "zona").agg(F.min_by(F.struct(*rest), "rid").alias("n")).select("ipt_nombre", "zona", "n.*")    # the norms of every zone
+    v = K.parcel_volume(lots, layer, rules, volume_buildings(spark, sf), TILE)
+    return v.select("rid", "clase", "ipt_nombre", "zona", "n_zonas", "n_edificios", "m2_existente", "estado_norma", "m2_max", "iov", "estado_iov", F.col("marca").isNotNull().alias("borrador"))
 
 
 @query("E22_C15_zone_candidates", "feat_base feat lots buildings", """WITH z AS (SELECT * FROM feat WHERE ipt_tipo = 'PRC' AND ipt_nombre = 'Plan 1'),
@@ -405,6 +416,14 @@ def tile_fields(spark, sf):
     return sinks.tile_fields(relation(spark, sf, "feat")).select("gid", "zona", "riesgo")
 
 
+@query("G3_truncated_view", "buildings", """SELECT bid AS id, true AS recortado FROM (SELECT bid, row_number() OVER (ORDER BY bid) AS n FROM buildings WHERE x0 / 1e5 <= 0.05 AND x1 / 1e5 >= 0.01 AND y0 / 1e5 <= 0.012 AND y1 / 1e5 >= 0.001) WHERE n <= 25""")
+def truncated(spark, sf):
+    """A view that holds more buildings than it may show: the first by id, and the mark."""
+    b = shaped(spark, sf, "buildings").withColumn("area_m2", half_even(G.area(F.col("geom")), 1)).withColumnRenamed("bid", "id").withColumn("fuente", F.lit("x"))
+    b = b.withColumn("geom", G.map_points(F.col("geom"), lambda x, y: x / 1e5, lambda x, y: y / 1e5)).withColumn("bbox", G.bbox(F.col("geom")))
+    return B.window_view(b, (0.01, 0.001, 0.05, 0.012), limit=25).select("id", "recortado")
+
+
 @query("G3_visible_buildings", "buildings", """SELECT bid AS id, round_even(coalesce(height, num_floors * 3.5, 3.5), 1) AS altura_est, round_even((x1 - x0) * (y1 - y0), 1) AS area_m2 FROM buildings WHERE x0 / 1e5 <= 0.05 AND x1 / 1e5 >= 0.01 AND y0 / 1e5 <= 0.012 AND y1 / 1e5 >= 0.001""")
 def visible(spark, sf):
     b = shaped(spark, sf, "buildings").withColumn("area_m2", half_even(G.area(F.col("geom")), 1)).withColumnRenamed("bid", "id").withColumn("fuente", F.lit("x"))

@@ -1,7 +1,6 @@
 """Rasters, tiles and the streamed demand votes."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from zonaria.functions.numeric import half_even
 from zonaria.operators import raster as RA
 from zonaria.operators import shapes
 from zonaria.operators.demand import exploded, region_votes
+from zonaria.session import shared_folder
 from zonaria.sources import sinks
 from zonaria.streaming.demand import stream_log, vote_stream
 
@@ -157,16 +157,10 @@ def simplified(spark, sf):
     return s.select("gid", F.size(G.vertices(F.col("geom"))).alias("puntos"), half_even(G.area(F.col("geom")), 1).alias("area"))
 
 
-def shared_folder(spark) -> str:
-    """A new folder below the cluster's shared checkpoint folder; a local one only where none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{root.rstrip('/')}/votes-{uuid.uuid4().hex}" if root else tempfile.mkdtemp(prefix="zonaria-stream-")
-
-
 @query("J1_streamed_votes", sql="SELECT event_type AS fuente, concat('R', CAST(user_id % 4 AS VARCHAR)) AS region, count(*) AS n FROM events GROUP BY 1, 2")
 def streamed(spark, sf):
     """The demand log written as files, read as a stream and counted; the last table is the batch count."""
-    home = shared_folder(spark)
+    home = f"{shared_folder(spark).rstrip('/')}/votes-{uuid.uuid4().hex}"
     e = table(spark, sf, "events")
     log = e.select(F.date_format("ts", "yyyy-MM-dd").alias("fecha"), F.concat(F.lit("R"), (F.col("user_id") % 4).cast("string")).alias("region"), F.lit("c").alias("cut"), F.lit("c").alias("comuna"), F.lit("U1").alias("clase"),
                    F.lit("completa").alias("cobertura"), F.array("event_type").alias("fuentes_relevantes_no_activas"))

@@ -25,6 +25,13 @@ def norm_text(spark, sf):
     return spread(table(spark, sf, "documents")).select("doc_id", F.md5(n).alias("clave"), F.length(n).alias("largo"))
 
 
+@query("I1_fold_compatibility", sql=f"SELECT doc_id, md5({norm('text')} || ' IV 13 M2 A ST') AS clave FROM documents WHERE length({norm('text')}) > 0")
+def fold_compatibility(spark, sf):
+    """Characters that stand for several, wide letters and ligatures keep their plain form in the key."""
+    n = X.norm_text(F.concat(F.col("text"), F.lit(" Ⅳ ⅓ ㎡ Ａ ﬆ")))
+    return spread(table(spark, sf, "documents")).where(F.length(X.norm_text(F.col("text"))) > 0).select("doc_id", F.md5(n).alias("clave"))
+
+
 @query("I2_slugs", sql=fr"""SELECT page_id, regexp_replace(regexp_replace(url, '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS servicio,
        md5(regexp_replace(regexp_replace(lower({norm('html')}), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')) AS region FROM pages""")
 def slugs(spark, sf):

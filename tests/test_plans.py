@@ -16,6 +16,7 @@ def test_build(spark):
     q = b.quality.collect()
     assert len(q) == 3 and all(abs(r.cobertura_pct - 100) <= 0.01 for r in q)
     assert {r.zona for r in b.review.collect()} == {"ZX"}
+    assert {r.cut: r.pct_riesgo > 0 for r in q} == {"09101": True, "09102": True, "09112": False}
 
 
 def test_parcels_to_volume(spark):

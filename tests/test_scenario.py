@@ -56,7 +56,7 @@ def scenario(spark):
 def pieces(scenario):
     clipped = P.clip_affectations(scenario["aff"].where("riesgo"), scenario["comunas"], TILE)
     risks = scenario["aff"].where("riesgo").join(clipped.select("gid").distinct(), "gid", "left_semi")
-    return P.partition(scenario["comunas"], scenario["part"], risks.where("gid <> 15").select("gid", "geom"), TILE).cache()
+    return P.partition(scenario["comunas"], scenario["part"], risks.select("gid", "cut_ipt", "geom"), TILE).cache()
 
 
 def test_typing_and_sources(scenario):
@@ -100,6 +100,9 @@ def test_quality(scenario, pieces):
     assert all(abs(r.cobertura_pct - 100) <= 0.01 for r in q.values())
     assert q["09102"].sin_urbano and not q["09101"].sin_urbano
     assert q["09112"].pct_U1 == 0 and q["09112"].pct_U2 > 0
+    assert q["09112"].pct_riesgo == 0  # a local risk of the neighbour that reaches over the border
+    for cut, risk in (("09101", 4102572.2 + 2896577.9), ("09102", 3858515.5)):
+        assert q[cut].pct_riesgo == pytest.approx(100 * risk / q[cut].area_comuna_m2, abs=2e-3)
 
 
 def test_coastal_extension(scenario):
@@ -108,7 +111,7 @@ def test_coastal_extension(scenario):
 
 
 def test_cards(spark, scenario):
-    risks = scenario["aff"].where("riesgo AND gid <> 15").select("gid", "geom")
+    risks = scenario["aff"].where("riesgo").select("gid", "cut_ipt", "geom")
     cells = P.partition_shapes(scenario["comunas"], scenario["part"], risks, TILE)
     names = scenario["part"].select("gid", F.col("tipo").alias("ipt_tipo"), "ipt_nombre", "zona")
     layer = cells.withColumns({"pid": F.monotonically_increasing_id(), "geom": P.trapezoid()}).join(names, "gid", "left").withColumns(

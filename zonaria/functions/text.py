@@ -1,6 +1,7 @@
 """Text expressions: folding, roles, periods, numbers in norm texts."""
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -9,30 +10,40 @@ from pyspark.sql import functions as F
 from .numeric import half_even
 
 
-def _single_char_folds() -> tuple[str, str]:
-    """Characters whose compatibility decomposition is exactly one ASCII character, and that character."""
-    source, target = [], []
-    for code in range(0x80, 0x3000):
-        ascii_form = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
-        if len(ascii_form) == 1:
-            source.append(chr(code))
-            target.append(ascii_form)
-    return "".join(source), "".join(target)
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """Characters whose compatibility decomposition keeps ASCII: those that keep one character and that character, and
+    those that keep several. All of Unicode, by rule."""
+    source, target, several = [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= code < 0xE000:
+            continue
+        char = chr(code)
+        form = unicodedata.normalize("NFKD", char)
+        if form != char and (kept := form.encode("ascii", "ignore").decode()):
+            if len(kept) == 1:
+                source.append(char)
+                target.append(kept)
+            else:
+                several[char] = kept
+    return "".join(source), "".join(target), several
 
 
-_FOLD_FROM, _FOLD_TO = _single_char_folds()
-# Characters that decompose to several ASCII characters and do occur in Latin text.
-_EXPANDED = {c: unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode() for c in "¼½¾ĲĳŉǇǈǉǊǋǌ…™№ﬀﬁﬂ"}
-_EXPANDED_CLASS = "[" + "".join(_EXPANDED) + "]"
+_FOLD_FROM, _FOLD_TO, _SEVERAL = _folds()
+_SEVERAL_PAIRS = "\x02".join(f"{c}\x01{form}" for c, form in _SEVERAL.items())
+_SEVERAL_CLASS = "[" + "".join(_SEVERAL) + "]"
 
 
 def fold(text: Column) -> Column:
-    """ASCII form of a text: accents dropped, other non-ASCII characters removed."""
-    expanded = text
-    for char, ascii_form in _EXPANDED.items():
-        expanded = F.replace(expanded, F.lit(char), F.lit(ascii_form))
-    expanded = F.when(text.rlike(_EXPANDED_CLASS), expanded).otherwise(text)
-    return F.regexp_replace(F.translate(expanded, _FOLD_FROM, _FOLD_TO), r"[^\x00-\x7F]", "")
+    """ASCII form of a text: accents dropped, compatibility characters in their plain form, the rest removed.
+
+    Plain ASCII passes as it is; only texts that hold a character standing for several are taken apart.
+    """
+    letters = F.str_to_map(F.lit(_SEVERAL_PAIRS), F.lit("\x02"), F.lit("\x01"))    # one literal, folded once
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(_SEVERAL_CLASS), F.lit(0)))
+    spelt = F.aggregate(found, text, lambda t, c: F.replace(t, c, F.try_element_at(letters, c)))
+    expanded = F.when(text.rlike(_SEVERAL_CLASS), spelt).otherwise(text)
+    ascii_only = F.regexp_replace(F.translate(expanded, _FOLD_FROM, _FOLD_TO), r"[^\x00-\x7F]", "")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), ascii_only).otherwise(text)
 
 
 def norm_text(text: Column) -> Column:

@@ -2,16 +2,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_even
 from ..functions import geometry as G
 from ..functions import scales as S
+from ..session import truncate_lineage
 from .overlay import pair_areas
 from .spatial_join import polygons_intersect
 
 # Limits of the visible-area query.
 LIMIT_DEFAULT, LIMIT_MAX, SPAN_MAX = 5_000, 20_000, 0.15
+# Fixed value: the notice for a wider area.
+TOO_WIDE = "El área visible es muy grande: acércate para ver los edificios."
 
 
 def normalise(raw: DataFrame) -> DataFrame:
@@ -30,7 +34,7 @@ def assign_comunas(buildings: DataFrame, comunas: DataFrame, size: float) -> Dat
     left = buildings.select(F.col("id").alias("lid"), "geom")
     right = comunas.select(F.col("cut").alias("rid"), "geom")
     pairs = polygons_intersect(left, right, size)
-    counts = pairs.groupBy("lid").agg(F.count("*").alias("n"), F.min("rid").alias("only"))
+    counts = truncate_lineage(pairs.groupBy("lid").agg(F.count("*").alias("n"), F.min("rid").alias("only")))    # both branches read it
     single = counts.where("n = 1").select(F.col("lid").alias("id"), F.col("only").alias("cut"))
     several = left.join(counts.where("n > 1").select("lid"), "lid", "left_semi")
     areas = pair_areas(several, right, size, stored=left.select("geom").unionByName(right.select("geom"))).where("area > 0")
@@ -81,8 +85,8 @@ def in_windows(buildings: DataFrame, windows: DataFrame, size: float) -> DataFra
 
 def window_view(buildings: DataFrame, box: tuple[float, float, float, float], limit: int = LIMIT_DEFAULT,
                 reference: float = 3.5) -> DataFrame:
-    """Buildings of one visible box with estimated height, one row beyond the limit telling that there are more.
-    A wider span than allowed gives no rows."""
+    """Buildings of one visible box with estimated height: the first ``limit`` by id, and in ``recortado`` whether there are
+    more. A wider span than allowed gives no rows; :func:`window_notice` says so."""
     from .spatial_join import box_filter
 
     xmin, ymin, xmax, ymax = box
@@ -101,4 +105,13 @@ def window_view(buildings: DataFrame, box: tuple[float, float, float, float], li
     height = S.estimated_height(F.col("height"), F.col("num_floors"), reference)
     return near.where(meets).select(
         "id", half_even(height, 1).alias("altura_est"), S.height_source(F.col("height"), F.col("num_floors")).alias("altura_fuente"),
-        half_even("area_m2", 1).alias("area_m2"), "fuente", "geom").limit(limit + 1)
+        half_even("area_m2", 1).alias("area_m2"), "fuente", "geom").orderBy("id").limit(limit + 1).withColumns({
+            "recortado": F.count("*").over(W.partitionBy()) > limit, "_n": F.row_number().over(W.orderBy("id"))}).where(F.col("_n") <= limit).drop("_n")
+
+
+def window_notice(view: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """One row for a visible box: how many buildings it shows, whether some were left out, and why none may show."""
+    xmin, ymin, xmax, ymax = box
+    wide = xmax - xmin > SPAN_MAX or ymax - ymin > SPAN_MAX
+    return view.agg(F.count("*").alias("edificios"), F.coalesce(F.max("recortado"), F.lit(False)).alias("recortado"),
+                    F.lit(TOO_WIDE if wide else None).cast("string").alias("aviso"))

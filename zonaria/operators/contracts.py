@@ -33,12 +33,12 @@ def source_errors(contracts: DataFrame) -> DataFrame:
     personal = F.array_intersect(F.transform("mapeo", lambda m: F.upper(m["origen"])), excluded)
     document = _errors(
         (F.size(F.array_except(F.array(*[F.lit(p) for p in PERSONAL]), excluded)) > 0, "excluir_siempre debe incluir al menos ['NOMBRE', 'RUT']"),
-        (F.size(personal) > 0, F.concat(F.lit("mapeo toma datos personales: "), F.array_join(F.array_sort(personal), ", "))),
         ((place >= 2) & ((F.coalesce(F.size("diccionario"), F.lit(0)) < 1) | blank("licencia")), "estado >= contrato exige diccionario y licencia"),
         ((place >= 3) & (F.coalesce(F.size("mapeo"), F.lit(0)) < 1), "estado >= mapeada exige mapeo"),
         ((place >= 4) & (blank("acceso.tipo") | ((F.col("acceso.tipo") != "manual") & blank("acceso.url"))),
          "estado >= latente exige acceso.tipo y acceso.url (o tipo manual)"))
-    return contracts.withColumn("_s", shape).withColumn("errores", F.when(F.size("_s") > 0, F.col("_s")).otherwise(document)).drop("_s")
+    each = F.transform(F.array_sort(personal), lambda p: F.concat(F.lit("mapeo toma datos personales: "), p))    # one error per field
+    return contracts.withColumn("_s", shape).withColumn("errores", F.when(F.size("_s") > 0, F.col("_s")).otherwise(F.concat(document, F.coalesce(each, F.array().cast("array<string>"))))).drop("_s")
 
 
 def theme_errors(themes: DataFrame) -> DataFrame:

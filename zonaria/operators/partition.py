@@ -53,7 +53,8 @@ def layers(comunas: DataFrame, features: DataFrame, risks: DataFrame | None) ->
         _item(FEATURE, level, F.coalesce(F.col("rango"), F.lit(0)), G.area(F.col("geom")), F.col("gid"),
               F.when(local, F.col("cut_ipt"))).alias("item"), "geom"))
     if risks is not None:
-        out = out.unionByName(risks.select(_item(RISK, null, null, null, F.col("gid"), null).alias("item"), "geom"))
+        own = F.col("cut_ipt") if "cut_ipt" in risks.columns else null
+        out = out.unionByName(risks.select(_item(RISK, null, null, null, F.col("gid"), own).alias("item"), "geom"))
     return out
 
 
@@ -74,7 +75,7 @@ def cells(comunas: DataFrame, features: DataFrame, risks: DataFrame | None, size
 
     corners = ["lo", "hi", "xl0", "xl1", "xr0", "xr1"] if shapes else []
     return inside.select("cut", *[best(k).alias(f"w{k}") for k in range(len(CLASS_ORDER))],
-                         F.exists("active", lambda a: a["kind"] == RISK).alias("en_riesgo"), "area", *corners)
+                         F.exists("active", lambda a: (a["kind"] == RISK) & (a["cut"].isNull() | (a["cut"] == F.col("cut")))).alias("en_riesgo"), "area", *corners)
 
 
 def signatures(cell: DataFrame) -> DataFrame:
@@ -140,8 +141,9 @@ def split_by_risk(awarded: DataFrame, min_area: float = 1.0) -> DataFrame:
 
 def partition(comunas: DataFrame, features: DataFrame, risks: DataFrame | None = None, size: float = 2_000.0,
               rules: LandRules = LandRules()) -> DataFrame:
-    """comunas(cut, geom), features(gid, fuente, rango, cut_ipt, geom), risks(gid, geom) → pieces
-    (cut, clase, fuente, gid, riesgo, area_m2); the part of no instrument has a null gid."""
+    """comunas(cut, geom), features(gid, fuente, rango, cut_ipt, geom), risks(gid[, cut_ipt], geom) → pieces
+    (cut, clase, fuente, gid, riesgo, area_m2); the part of no instrument has a null gid. A risk with a ``cut_ipt`` is a
+    risk in that comuna alone."""
     return split_by_risk(award(signatures(cells(comunas, features, risks, size)), rules.min_area), rules.min_area)
 
 
@@ -188,10 +190,10 @@ def piece_ids(pieces: DataFrame) -> DataFrame:
 
 def comuna_quality(pieces: DataFrame, comunas: DataFrame) -> DataFrame:
     """One row per comuna: % per class, coverage, % risk, no-urban flag. comunas(cut, comuna, region, geom)."""
-    sums = pieces.groupBy("cut").pivot("clase", list(CLASSES)).agg(F.sum("area_m2"))
-    risk = pieces.groupBy("cut").agg(F.sum(F.when(F.col("riesgo"), F.col("area_m2")).otherwise(0.0)).alias("_risk"))
+    sums = pieces.groupBy("cut").agg(*[F.sum(F.when(F.col("clase") == c, F.col("area_m2"))).alias(c) for c in CLASSES],
+                                     F.sum(F.when(F.col("riesgo"), F.col("area_m2")).otherwise(0.0)).alias("_risk"))
     base = comunas.select("cut", "comuna", "region", G.area(F.col("geom")).alias("area_comuna_m2"))
-    joined = base.join(sums, "cut", "left").join(risk, "cut", "left")
+    joined = base.join(sums, "cut", "left")
 
     def pct(value: Column) -> Column:
         return half_even(100 * F.coalesce(value, F.lit(0.0)) / F.col("area_comuna_m2"), 3)

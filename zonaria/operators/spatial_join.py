@@ -55,22 +55,34 @@ def _touch(a: Column, b: Column) -> Column:
             & (side(b, a["x0"], a["y0"]) * side(b, a["x1"], a["y1"]) <= 0))
 
 
+def _ring_pieces(polygons: DataFrame, key: str, size: float, crowded, margin: float) -> DataFrame:
+    """Pieces with all their edges (``es``, for parity), those that are no work of the cut (``own``) and one corner of every
+    ring (``corners``). An edge along a line of the cut lies inside the next tile and is met there."""
+    cut = tile_pieces(polygons.select(key, "geom"), size, crowded, margin)
+    step = f"({float(size)!r}D / shiftleft(1L, lv))"
+    lines = {f"{axis}{end}": F.expr(f"(t{axis} + {end}) * {step} {'+' if end else '-'} {float(margin)!r}D") for axis in "xy" for end in (0, 1)}
+
+    def along(e: Column, axis: str) -> Column:
+        return (e[f"{axis}0"] == e[f"{axis}1"]) & ((e[f"{axis}0"] == F.col(f"_{axis}0")) | (e[f"{axis}0"] == F.col(f"_{axis}1")))
+
+    edged = cut.withColumns({f"_{k}": v for k, v in lines.items()} | {"es": G.edges(F.col("geom"))})
+    return edged.select(key, *TILE, "es", F.filter("es", lambda e: ~along(e, "x") & ~along(e, "y")).alias("own"),
+                        F.expr("transform(flatten(geom), r -> r[0])").alias("corners"), G.bbox(F.col("geom")).alias("b"))
+
+
 def polygons_intersect(left: DataFrame, right: DataFrame, size: float, hot_rows: int = HOT_ROWS) -> DataFrame:
     """left(lid, geom) × right(rid, geom) → distinct (lid, rid) that share at least a point."""
     both = left.select("geom").unionByName(right.select("geom"))
     crowded = crowded_tiles(both, size, CAPACITY)
     margin = size * 1e-3
-    joined = salted_join(_pieces(left, "lid", size, crowded, margin),
-                         _pieces(right, "rid", size, crowded, margin).withColumnsRenamed({"es": "fs", "b": "c"}), TILE, "lid", hot_rows=hot_rows)
+    joined = salted_join(_ring_pieces(left, "lid", size, crowded, margin),
+                         _ring_pieces(right, "rid", size, crowded, margin).withColumnsRenamed({"es": "fs", "own": "f_own", "corners": "f_corners", "b": "c"}), TILE, "lid", hot_rows=hot_rows)
     joined = joined.where((F.col("b.xmin") <= F.col("c.xmax")) & (F.col("b.xmax") >= F.col("c.xmin"))
                           & (F.col("b.ymin") <= F.col("c.ymax")) & (F.col("b.ymax") >= F.col("c.ymin")))
 
-    def start(es: Column) -> Column:
-        return F.get(es, F.lit(0))
-
     es, fs = F.col("es"), F.col("fs")
-    meets = (G.covers_inside(fs, start(es)["x0"], start(es)["y0"]) | G.covers_inside(es, start(fs)["x0"], start(fs)["y0"])
-             | F.exists(es, lambda a: F.exists(fs, lambda b: _touch(a, b))))
+    meets = (F.exists("corners", lambda p: G.covers_inside(fs, p["x"], p["y"])) | F.exists("f_corners", lambda p: G.covers_inside(es, p["x"], p["y"]))
+             | F.exists("own", lambda a: F.exists("f_own", lambda b: _touch(a, b))))
     return joined.where(meets).select("lid", "rid").distinct()
 
 

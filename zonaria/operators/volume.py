@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_even
@@ -43,8 +44,8 @@ def calculated(parcels: DataFrame, buildings: DataFrame, size: float, zones: Dat
         kept = pair.where(share > INSIDE).withColumn("part", F.col("whole"))
     else:
         kept = pair.where((share > INSIDE) | ((share >= PART) & (of_parcel >= PART_OF_PARCEL)))
-    owners = kept.groupBy("lid").agg((F.count("*") > 1).alias("shared"))
-    sums = kept.join(owners, "lid").groupBy("rid").agg(
+    owned = kept.withColumn("shared", F.count("*").over(W.partitionBy("lid")) > 1)
+    sums = owned.groupBy("rid").agg(
         F.count("*").alias("n_edificios"), F.sum("part").alias("huella"), F.count(F.when(F.col("shared"), 1)).alias("n_comp"),
         F.max(S.finite(F.col("num_floors"))).alias("floors"))
     base = parcels.join(size_of, "rid").join(sums, "rid", "left")
@@ -145,7 +146,8 @@ def _setback_strips(geom: Column, distance: Column) -> Column:
             kite = F.array(p(vx, vy), p(vx + a["x"] * distance, vy + a["y"] * distance),
                            p(vx + (a["x"] + b["x"]) * k, vy + (a["y"] + b["y"]) * k),
                            p(vx + b["x"] * distance, vy + b["y"] * distance), p(vx, vy))
-            return F.when(reflex & (dot > -0.92), F.array(kite))     # sharper corners exceed the mitre limit of 5
+            bevel = F.array(p(vx, vy), p(vx + a["x"] * distance, vy + a["y"] * distance), p(vx + b["x"] * distance, vy + b["y"] * distance), p(vx, vy))
+            return F.when(reflex, F.array(F.when(dot > -0.92, kite).otherwise(bevel)))     # sharper corners exceed the mitre limit of 5
 
         def both(es: Column) -> Column:
             following = F.concat(F.slice(es, F.lit(2), F.greatest(F.size(es) - 1, F.lit(0))), F.slice(es, 1, 1))

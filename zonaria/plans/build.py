@@ -33,7 +33,7 @@ def build(raw: DataFrame, catalogue: DataFrame, comunas: DataFrame, size: float,
     kept, outside = FE.split_affectations(features)
     land, kept, outside = metric(comunas), metric(kept), metric(outside)
     clipped = P.clip_affectations(outside, land, size, rules.min_area)
-    risks = outside.where("riesgo").join(clipped.select("gid").distinct(), "gid", "left_semi").select("gid", "geom")
+    risks = outside.where("riesgo").join(clipped.select("gid").distinct(), "gid", "left_semi").select("gid", "cut_ipt", "geom")
     pieces = P.partition(land, kept, risks, size, rules)
     names = kept.select("gid", "ipt_tipo", "ipt_nombre", "servicio", "capa", "zona", "zona_desc", "revisar")
     places = comunas.select("cut", "comuna", "region")

@@ -1,8 +1,6 @@
 """Session settings the plans expect, and the shared checkpoint folder."""
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -21,19 +19,22 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory:
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
 
 
-def truncate_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate results that every executor sees: ``spark.checkpoint.dir``, or one in the warehouse where
+    none is named. Never a folder of one machine on a cluster."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
-    The folder is the one named by ``spark.checkpoint.dir``; a local one is made only when the
-    session names none (tests on one machine).
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+
+def truncate_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="zonaria-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -40,7 +40,7 @@ def read_comunas(df: DataFrame, code: str, name: str, region: str, geom: str = "
     lacking = [c for c in (code, name, region, geom) if c not in df.columns]
     if lacking:
         raise ValueError(f"faltan campos: {lacking}")
-    out = df.select(F.lpad(F.col(code).cast("string"), 5, "0").alias("cut"), F.col(name).alias("comuna"), F.col(region).alias("region"), F.col(geom).alias("geom"))
+    out = df.select(F.when(F.length(F.col(code).cast("string")) < 5, F.lpad(F.col(code).cast("string"), 5, "0")).otherwise(F.col(code).cast("string")).alias("cut"), F.col(name).alias("comuna"), F.col(region).alias("region"), F.col(geom).alias("geom"))
     return out if pattern is None else out.where(X.region_matches(F.col("region"), pattern))
 
 
