@@ -61,6 +61,24 @@ def local_risk(spark, sf):
     return P.partition(comunas, feat, feat.where("riesgo").select("gid", "cut_ipt", "geom"), TILE).select("cut", "clase", "gid", "riesgo", "area_m2")
 
 
+@query("D5_piece_shapes", "feat_base feat comunas", f"""{FULL}, lim AS (SELECT v.cut, v.gid, v.en_riesgo AS riesgo, min(c.x) AS xmin, max(c.xn) AS xmax, min(c.y) AS ymin, max(c.yn) AS ymax
+    FROM cover v JOIN cells c ON c.cut = v.cut AND c.x = v.x AND c.y = v.y GROUP BY 1, 2, 3)
+    SELECT p.cut, {CLASS_OF} AS clase, p.gid, p.riesgo, round_even(area_m2, 2) AS area_m2, xmin, ymin, xmax, ymax FROM pieces p JOIN lim l ON l.cut = p.cut AND l.gid IS NOT DISTINCT FROM p.gid AND l.riesgo = p.riesgo""")
+def piece_shapes(spark, sf):
+    """The partition as a layer: area and covering box of the outline of every piece."""
+    comunas, feat, risks = layers(spark, sf)
+    b = P.partition_layer(comunas, feat, risks, TILE).withColumn("b", G.bbox(F.col("geom")))
+    return b.select("cut", "clase", "gid", "riesgo", half_even("area_m2", 2).alias("area_m2"), *[half_even(F.col(f"b.{c}"), 6).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")])
+
+
+@query("D3_clipped_shapes", "feat_base feat comunas", """SELECT f.gid, c.cut, greatest(f.x0, c.x0) AS xmin, least(f.y1, c.y1) AS ymax, round_even((least(f.x1, c.x1) - greatest(f.x0, c.x0)) * (least(f.y1, c.y1) - greatest(f.y0, c.y0)), 2) AS area_m2
+    FROM feat f JOIN comunas c ON f.x0 < c.x1 AND f.x1 > c.x0 AND f.y0 < c.y1 AND f.y1 > c.y0 WHERE f.cut_ipt IS NULL OR f.cut_ipt = c.cut""")
+def clipped_shapes(spark, sf):
+    comunas, feat, _ = layers(spark, sf)
+    c = P.clip_shapes(feat, comunas, TILE).withColumn("b", G.bbox(F.col("geom")))
+    return c.select("gid", "cut", half_even(F.col("b.xmin"), 6).alias("xmin"), half_even(F.col("b.ymax"), 6).alias("ymax"), half_even(G.area(F.col("geom")), 2).alias("area_m2"))
+
+
 @query("D6_remainder_rural", "feat_base feat comunas", f"{FULL} SELECT cut, sum(area_m2) AS area_m2 FROM pieces WHERE gid IS NULL GROUP BY cut")
 def remainder(spark, sf):
     return pieces(spark, sf).where("clase = 'R2'").groupBy("cut").agg(F.sum("area_m2").alias("area_m2"))
@@ -130,6 +148,13 @@ def coast(spark, sf):
     return P.coastal_extension(feat, comunas, TILE).drop("x_fuera")
 
 
+@query("D20_enlarged_comunas", "feat_base feat comunas", f"""WITH {OUT}, s AS (SELECT g AS cut, sum(a) FILTER (WHERE NOT dry AND first = g) AS e FROM mine GROUP BY g)
+    SELECT c.cut, round_even((c.x1 - c.x0) * (c.y1 - c.y0) + CASE WHEN e >= 1 THEN e ELSE 0 END, 1) AS area_m2, round_even(CASE WHEN e >= 1 THEN e ELSE 0 END / 1e4, 2) AS ha_extension_costera FROM comunas c LEFT JOIN s USING (cut)""")
+def enlarged(spark, sf):
+    comunas, feat, _ = layers(spark, sf)
+    return P.enlarge_comunas(feat, comunas, TILE).select("cut", half_even(G.area(F.col("geom")), 1).alias("area_m2"), "ha_extension_costera")
+
+
 @query("D20_coastal_quality", "feat_base feat comunas", f"""WITH {OUT}, s AS (SELECT g AS cut, sum(a) AS t, sum(a) FILTER (WHERE NOT dry) AS o, coalesce(sum(a) FILTER (WHERE NOT dry AND first = g), 0) AS e,
     sum(a * (x + xn) / 2) FILTER (WHERE NOT dry) / sum(a) FILTER (WHERE NOT dry) AS mx FROM mine GROUP BY g HAVING sum(a) FILTER (WHERE NOT dry) >= 1)
     SELECT s.cut, c.comuna, c.region, round_even(t / 1e4, 2) AS ha_ipt, round_even(o / 1e4, 2) AS ha_fuera, round_even(100 * o / t, 2) AS pct_fuera,

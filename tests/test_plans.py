@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import box, frame
+from zonaria.functions import geometry as G
 from test_scenario import COMUNAS, FEATURES, LAYERS
 from zonaria.plans.build import build
 from zonaria.plans.volume import parcel_table, volume_by_terrain
@@ -17,6 +18,16 @@ def test_build(spark):
     assert len(q) == 3 and all(abs(r.cobertura_pct - 100) <= 0.01 for r in q)
     assert {r.zona for r in b.review.collect()} == {"ZX"}
     assert {r.cut: r.pct_riesgo > 0 for r in q} == {"09101": True, "09102": True, "09112": False}
+    pieces = b.pieces.select("id", "cut", "area_m2", G.area(F.col("geom")).alias("a"), G.is_empty(F.col("geom")).alias("none")).collect()
+    assert all(not r.none and r.a == pytest.approx(r.area_m2) for r in pieces) and len({r.id for r in pieces}) == len(pieces)
+    land = {r.cut: r.a for r in b.comunas.select("cut", G.area(F.col("geom")).alias("a")).collect()}
+    for cut, whole in land.items():
+        assert sum(r.a for r in pieces if r.cut == cut) == pytest.approx(whole, rel=1e-5)
+    grown = {r.cut: r.ha_extension_costera for r in b.comunas.collect()}
+    assert grown["09101"] > 0 and grown["09102"] == grown["09112"] == 0
+    assert {(r.zona, r.cut) for r in b.affectations.where("zona = 'AR-3'").collect()} == {("AR-3", "09101")}
+    s = b.summary.first()
+    assert s.comunas == 3 and s.piezas == len(pieces) and s.piezas_invalidas == 0 and s.extension_costera_ha == pytest.approx(sum(grown.values()), abs=0.1)
 
 
 def test_parcels_to_volume(spark):

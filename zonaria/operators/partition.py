@@ -10,6 +10,7 @@ from ..functions import geometry as G
 from ..session import truncate_lineage
 from ..rules import CLASS_ORDER, CLASSES, LOCAL, REMAINDER, LandRules
 from .overlay import overlay
+from .shapes import dissolve
 
 ITEM = "struct<kind:int,level:int,rango:int,size:double,gid:bigint,cut:string>"
 COMUNA, FEATURE, RISK = 0, 1, 2
@@ -164,6 +165,48 @@ def partition_shapes(comunas: DataFrame, features: DataFrame, risks: DataFrame |
     return placed.select("cut", level_class(F.col("level")).alias("clase"), level_source(F.col("level")).alias("fuente"), "gid", "riesgo", "area", *corners)
 
 
+CORNERS = ["lo", "hi", "xl0", "xl1", "xr0", "xr1"]
+
+
+def partition_layer(comunas: DataFrame, features: DataFrame, risks: DataFrame | None = None, size: float = 2_000.0,
+                    rules: LandRules = LandRules()) -> DataFrame:
+    """The partition as a layer: pieces (cut, clase, fuente, gid, riesgo, geom, area_m2)."""
+    cell = partition_shapes(comunas, features, risks, size, rules)
+    return dissolve(cell, ["cut", "clase", "fuente", "gid", "riesgo"]).withColumn("area_m2", G.area(F.col("geom")))
+
+
+def clip_shapes(features: DataFrame, comunas: DataFrame, size: float, min_area: float = 1.0) -> DataFrame:
+    """Affectations(gid, cut_ipt, geom) cut by comuna, with their ground: (gid, cut, geom, area_m2); a local one only in its
+    own comuna."""
+    left = features.select(F.struct(F.lit(0).alias("side"), F.col("gid").cast("string").alias("id"), F.col("cut_ipt").alias("own")).alias("item"), "geom")
+    right = comunas.select(F.struct(F.lit(1).alias("side"), F.col("cut").alias("id"), F.lit(None).cast("string").alias("own")).alias("item"), "geom")
+    cell = overlay(left.unionByName(right), size, shapes=True)
+    of = lambda side: F.filter("active", lambda a: a["side"] == side)
+    rows = cell.withColumn("a", F.explode(of(0))).withColumn("cut", F.explode(F.transform(of(1), lambda a: a["id"])))
+    rows = truncate_lineage(rows.where("a.own IS NULL OR a.own = cut").select(F.col("a.id").cast(features.schema["gid"].dataType).alias("gid"), "cut", "area", *CORNERS))
+    kept = rows.groupBy("gid", "cut").agg(F.sum("area").alias("area_m2")).where(F.col("area_m2") >= min_area)
+    return dissolve(rows.join(kept.select("gid", "cut"), ["gid", "cut"], "left_semi"), ["gid", "cut"]).join(kept, ["gid", "cut"])
+
+
+def enlarge_comunas(features: DataFrame, comunas: DataFrame, size: float) -> DataFrame:
+    """Comunas with the ground of their own instruments outside every comuna; the lower code takes disputed ground.
+
+    features(gid, cut_ipt, geom), comunas(cut, geom, …) → the comunas with the new ``geom`` and ``ha_extension_costera``.
+    Comunas without an extension keep their shape as it is.
+    """
+    null = F.lit(None).cast("bigint")
+    own = features.where(F.col("cut_ipt").isNotNull()).select(F.struct(F.lit(1).alias("kind"), F.col("cut_ipt").alias("cut"), F.col("gid").cast("bigint").alias("gid")).alias("item"), "geom")
+    land = comunas.select(F.struct(F.lit(0).alias("kind"), F.col("cut").alias("cut"), null.alias("gid")).alias("item"), "geom")
+    cuts = lambda kind: F.array_sort(F.array_distinct(F.transform(F.filter("active", lambda a: a["kind"] == kind), lambda a: a["cut"])))
+    cell = truncate_lineage(overlay(own.unionByName(land), size, shapes=True).select(cuts(0).alias("land"), F.get(cuts(1), F.lit(0)).alias("claim"), "area", *CORNERS))
+    outside = cell.where((F.size("land") == 0) & F.col("claim").isNotNull()).select(F.col("claim").alias("cut"), "area", *CORNERS)
+    grown = outside.groupBy("cut").agg(F.sum("area").alias("_more")).where("_more >= 1.0").join(comunas.select("cut"), "cut", "left_semi")
+    ground = cell.withColumn("cut", F.explode("land")).select("cut", "area", *CORNERS).unionByName(outside).join(grown.select("cut"), "cut", "left_semi")
+    shapes_ = dissolve(ground, ["cut"]).withColumnRenamed("geom", "_grown")
+    joined = comunas.join(grown, "cut", "left").join(shapes_, "cut", "left")
+    return joined.withColumns({"geom": F.coalesce("_grown", "geom"), "ha_extension_costera": half_even(F.coalesce("_more", F.lit(0.0)) / 1e4, 2)}).drop("_grown", "_more")
+
+
 def trapezoid() -> Column:
     """Geometry of one elementary trapezoid."""
     corner = G.point
@@ -289,11 +332,25 @@ def unplaced_instruments(features: DataFrame, touches: DataFrame) -> DataFrame:
         F.min_by("attrs_raw", "fid").alias("ejemplo_attrs_raw"))
 
 
-def build_summary(pieces: DataFrame, quality: DataFrame) -> DataFrame:
-    """One row: number of comunas and pieces, coverage range, pieces per class; both inputs in one aggregation."""
-    both = pieces.select("clase", "revisar", F.lit(1).alias("pieza")).unionByName(
-        quality.select("sin_urbano", "cobertura_pct", F.lit(1).alias("comuna")), allowMissingColumns=True)
+def build_summary(pieces: DataFrame, quality: DataFrame, unplaced: DataFrame | None = None, coast: DataFrame | None = None) -> DataFrame:
+    """One row: number of comunas and pieces, coverage range, pieces per class, and as far as given: the largest overlap and
+    the comunas over its tolerance (``traslape_m2, traslape_ok`` of the quality), instruments without comuna, hectares outside
+    every comuna and of the coastal extension, self-crossing shapes. All inputs in one aggregation."""
+    extra = [c for c in ("traslape_m2", "traslape_ok", "ha_extension_costera") if c in quality.columns]
+    shaped = [G.crosses_itself(F.col("geom")).alias("_crossed")] if "geom" in pieces.columns else []
+    both = pieces.select("clase", "revisar", *shaped, F.lit(1).alias("pieza")).unionByName(
+        quality.select("sin_urbano", "cobertura_pct", *extra, F.lit(1).alias("comuna")), allowMissingColumns=True)
+    for other, name, column in ((unplaced, "_unplaced", F.lit(1)), (coast, "_outside", F.col("ha_fuera") if coast is not None else None)):
+        if other is not None:
+            both = both.unionByName(other.select(column.alias(name)), allowMissingColumns=True)
+    more = [F.max("traslape_m2").alias("traslape_max_m2")] if "traslape_m2" in extra else []
+    more += [F.count(F.when(~F.col("traslape_ok"), 1)).alias("comunas_traslape_sobre_umbral")] if "traslape_ok" in extra else []
+    more += [half_even(F.coalesce(F.sum("ha_extension_costera"), F.lit(0.0)), 1).alias("extension_costera_ha")] if "ha_extension_costera" in extra else []
+    more += [F.count("_unplaced").alias("instrumentos_sin_comuna")] if unplaced is not None else []
+    more += [half_even(F.coalesce(F.sum("_outside"), F.lit(0.0)), 1).alias("ipt_fuera_dpa_ha")] if coast is not None else []
+    more += [F.count(F.when(F.col("_crossed"), 1)).alias("piezas_invalidas")] if shaped else []
     return both.agg(
+        *more,
         F.count("comuna").alias("comunas"), F.count("pieza").alias("piezas"),
         F.count(F.when(F.col("sin_urbano"), 1)).alias("comunas_sin_urbano"),
         F.min("cobertura_pct").alias("cobertura_min_pct"), F.max("cobertura_pct").alias("cobertura_max_pct"),

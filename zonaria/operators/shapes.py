@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import half_even
 from ..functions import geometry as G
+from .overlay import overlay
 
 
 def _simplify_line(points: np.ndarray, tolerance: float) -> np.ndarray:
@@ -134,6 +135,15 @@ def dissolve(cells: DataFrame, keys: list[str]) -> DataFrame:
     return segments.groupBy(*keys).applyInPandas(chain, schema)
 
 
+def repair(df: DataFrame, key: str, size: float) -> DataFrame:
+    """``df`` with self-crossing shapes replaced by the ground they cover (even-odd); shapes left empty go."""
+    flagged = df.where(G.crosses_itself(F.col("geom")))
+    cell = overlay(flagged.select(F.struct(F.col(key).alias("k")).alias("item"), "geom"), size, shapes=True)
+    ground = dissolve(cell.withColumn(key, F.explode(F.transform("active", lambda a: a["k"]))), [key])
+    rest = df.where(~G.is_empty(F.col("geom")) & ~G.crosses_itself(F.col("geom")))
+    return rest.unionByName(flagged.drop("geom").join(ground, key).select(*df.columns)).where(~G.is_empty(F.col("geom")))
+
+
 def _straighten(points: list[tuple]) -> list[tuple]:
     """Ring without the points that lie on a straight run."""
     ring = points[:-1]

@@ -10,7 +10,8 @@ from ..functions import crs as C
 from ..operators import features as FE
 from ..operators import partition as P
 from ..operators import review as RV
-from ..rules import LandRules
+from ..rules import LOCAL, LandRules
+from ..session import truncate_lineage
 
 
 @dataclass
@@ -18,24 +19,34 @@ class Build:
     features: DataFrame
     affectations: DataFrame
     pieces: DataFrame
+    comunas: DataFrame
     quality: DataFrame
     review: DataFrame
+    summary: DataFrame
 
 
-def build(raw: DataFrame, catalogue: DataFrame, comunas: DataFrame, size: float, rules: LandRules = LandRules()) -> Build:
+def build(raw: DataFrame, catalogue: DataFrame, comunas: DataFrame, size: float, rules: LandRules = LandRules(),
+          legal: dict | None = None) -> Build:
     """raw(fid, service, layer_id, properties, geom), catalogue(service, service_type, layer_id, layer_name, url),
-    comunas(cut, comuna, region, geom), all in lon/lat; ``size``: tile in metres."""
+    comunas(cut, comuna, region, geom), all in lon/lat; ``size``: tile in metres; ``legal``: texts per class.
+
+    Comunas are enlarged by the ground of their own instruments outside all of them; partition, affectations and coverage
+    refer to the enlarged shapes. Pieces and affectations come with their ground (``geom``, metric)."""
     def metric(df: DataFrame) -> DataFrame:
         return df.withColumn("geom", C.to_albers(F.col("geom")))
 
     typed = FE.type_layers(FE.dedupe_catalogue(catalogue), rules)
     features = FE.homologate(raw, typed, comunas, rules).withColumnRenamed("fid", "gid")
     kept, outside = FE.split_affectations(features)
-    land, kept, outside = metric(comunas), metric(kept), metric(outside)
-    clipped = P.clip_affectations(outside, land, size, rules.min_area)
-    risks = outside.where("riesgo").join(clipped.select("gid").distinct(), "gid", "left_semi").select("gid", "cut_ipt", "geom")
-    pieces = P.partition(land, kept, risks, size, rules)
+    kept, outside = metric(kept), metric(outside)
+    land = truncate_lineage(P.enlarge_comunas(kept.where(F.col("fuente").isin(*LOCAL)), metric(comunas), size))
+    clipped = truncate_lineage(P.clip_shapes(outside, land, size, rules.min_area))
+    risks = clipped.join(outside.where("riesgo").select("gid"), "gid", "left_semi").select("gid", F.col("cut").alias("cut_ipt"), "geom")
+    pieces = truncate_lineage(P.partition_layer(land, kept, risks, size, rules))
     names = kept.select("gid", "ipt_tipo", "ipt_nombre", "servicio", "capa", "zona", "zona_desc", "revisar")
     places = comunas.select("cut", "comuna", "region")
     full = pieces.join(names, "gid", "left").join(places, "cut", "left").withColumn("revisar", F.coalesce("revisar", F.lit(False)))
-    return Build(kept, clipped, full, P.comuna_quality(pieces, land), RV.review_table(full))
+    full = P.piece_ids(full if legal is None else P.annotate(full, legal))
+    affected = clipped.join(outside.drop("geom"), "gid").join(comunas.select("cut", "comuna"), "cut")
+    quality = P.comuna_quality(pieces, land).join(land.select("cut", "ha_extension_costera"), "cut")
+    return Build(kept, affected, full, land, quality, RV.review_table(full), P.build_summary(full, quality))

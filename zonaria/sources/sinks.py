@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..operators.demand import LOG_COLUMNS
 from ..operators.parcels import hilbert_key
+from ..operators.shapes import repair
 
 
-def write_layer(df: DataFrame, path: str, partition: str = "region") -> None:
-    """Master layer as Parquet by region; empty shapes are left out."""
-    df.where(~G.is_empty(F.col("geom"))).write.mode("overwrite").partitionBy(partition).parquet(path)
+def write_layer(df: DataFrame, path: str, partition: str = "region", key: str | None = None, size: float = 2_000.0) -> None:
+    """Master layer as Parquet by region; empty shapes are left out. With the ``key`` of its rows, self-crossing shapes are
+    replaced by the ground they cover."""
+    kept = df.where(~G.is_empty(F.col("geom"))) if key is None else repair(df, key, size)
+    kept.write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
 def export_checks(df: DataFrame) -> DataFrame:
