@@ -109,6 +109,18 @@ def overlap(spark, sf):
     return P.overlap_quality(parts, comunas, TILE)
 
 
+@query("E2_overlap_of_sources", "feat_base feat comunas", """WITH f AS (SELECT lpad(CAST(m AS VARCHAR), 10, '0') AS cut, gid, x0, y0, x1, y1 FROM feat),
+    xs AS (SELECT cut, x, lead(x) OVER (PARTITION BY cut ORDER BY x) AS xn FROM (SELECT cut, x0 AS x FROM f UNION SELECT cut, x1 FROM f)),
+    ys AS (SELECT cut, y, lead(y) OVER (PARTITION BY cut ORDER BY y) AS yn FROM (SELECT cut, y0 AS y FROM f UNION SELECT cut, y1 FROM f)),
+    u AS (SELECT xs.cut, sum((xn - x) * (yn - y)) AS u FROM xs JOIN ys USING (cut) WHERE xn IS NOT NULL AND yn IS NOT NULL AND EXISTS (SELECT 1 FROM f WHERE f.cut = xs.cut AND f.x0 <= x AND f.x1 >= xn AND f.y0 <= y AND f.y1 >= yn) GROUP BY 1),
+    s AS (SELECT cut, sum((x1 - x0) * (y1 - y0)) AS s FROM f GROUP BY 1)
+    SELECT c.cut, round_even(greatest(coalesce(s - u, 0), 0), 1) AS traslape_m2, round_even(greatest(coalesce(s - u, 0), 0), 1) < greatest(1, (c.x1 - c.x0) * (c.y1 - c.y0) * 1e-6) AS traslape_ok FROM comunas c LEFT JOIN s USING (cut) LEFT JOIN u USING (cut)""")
+def overlap_of_sources(spark, sf):
+    """The metric on layers that do overlap: the planning features of each comuna before they are resolved."""
+    comunas, feat, _ = layers(spark, sf)
+    return P.overlap_quality(feat.select("cut", F.col("gid").alias("pid"), "geom"), comunas, TILE)
+
+
 @query("D3_affectations_by_comuna", "feat_base feat comunas", """SELECT f.gid, c.cut, (least(f.x1, c.x1) - greatest(f.x0, c.x0)) * (least(f.y1, c.y1) - greatest(f.y0, c.y0)) AS area
     FROM feat f JOIN comunas c ON f.x0 < c.x1 AND f.x1 > c.x0 AND f.y0 < c.y1 AND f.y1 > c.y0 WHERE f.cut_ipt IS NULL OR f.cut_ipt = c.cut""")
 def affectations(spark, sf):

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,9 @@ from zonaria.functions import text as X
 from zonaria.functions.numeric import half_even
 from zonaria.operators import buildings as B
 from zonaria.operators import parcels as P
+from zonaria.operators import spatial_join as J
 from zonaria.operators import volume as V
+from zonaria.session import shared_folder
 from zonaria.sources import layers as L
 from zonaria.sources import sinks
 
@@ -206,7 +209,7 @@ def terrains(spark, sf):
     return t.select("id_poligono", "rol", F.round("sup_construida_total", 4).alias("sup_construida_total"), "pisos_max", "n_unidades", "calidad_geometria", "m2_terreno")
 
 
-@query("G5_reproducible_sample")
+@query("G5_reproducible_sample", sql="SELECT o_orderkey FROM orders ORDER BY md5('1|' || o_orderkey), o_orderkey LIMIT 500")
 def sample(spark, sf):
     return V.reproducible_sample(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 500, 1)
 
@@ -416,6 +419,18 @@ def tile_fields(spark, sf):
     return sinks.tile_fields(relation(spark, sf, "feat")).select("gid", "zona", "riesgo")
 
 
+@query("A17_pushed_lookup", "lots", """WITH w AS (SELECT arg_min(x0, (hash_order, rid)) AS wx, arg_min(y0, (hash_order, rid)) AS wy FROM (SELECT *, rid * 7919 % 10007 AS hash_order FROM lots))
+    SELECT rid FROM lots, w WHERE x0 <= wx + 900 AND x1 >= wx - 900 AND y0 <= wy + 900 AND y1 >= wy - 900""")
+def pushed_lookup(spark, sf):
+    """Parcels written in spatial order with covering boxes, read back for one window whose box reaches the scan."""
+    lots = relation(spark, sf, "lots")
+    corner = lots.agg(F.min_by(F.struct("x0", "y0"), F.struct(F.col("rid") * 7919 % 10007, F.col("rid"))).alias("c"), F.max("x1").alias("x"), F.max("y1").alias("y")).first()
+    home = f"{shared_folder(spark).rstrip('/')}/parcels-{uuid.uuid4().hex}"
+    sinks.write_parcels(shaped(spark, sf, "lots").select("rid", "cut", "geom"), home, (0.0, 0.0, float(corner.x), float(corner.y)))
+    x, y = corner.c.x0, corner.c.y0
+    return J.box_filter(spark.read.parquet(home), x - 900, y - 900, x + 900, y + 900).select("rid")
+
+
 @query("G3_truncated_view", "buildings", """SELECT bid AS id, true AS recortado FROM (SELECT bid, row_number() OVER (ORDER BY bid) AS n FROM buildings WHERE x0 / 1e5 <= 0.05 AND x1 / 1e5 >= 0.01 AND y0 / 1e5 <= 0.012 AND y1 / 1e5 >= 0.001) WHERE n <= 25""")
 def truncated(spark, sf):
     """A view that holds more buildings than it may show: the first by id, and the mark."""

@@ -50,11 +50,6 @@ def map_points(geom: Column, x: Callable[[Column, Column], Column], y: Callable[
         ring, lambda p: point(x(p["x"], p["y"]), y(p["x"], p["y"])))))
 
 
-def snap(geom: Column, digits: int = 3) -> Column:
-    """Coordinates on the working grid (1 mm)."""
-    return map_points(geom, lambda x, y: half_even(x, digits), lambda x, y: half_even(y, digits))
-
-
 def rings(geom: Column) -> Column:
     return F.flatten(geom)
 

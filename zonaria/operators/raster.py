@@ -3,9 +3,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import half_even
 from ..functions import crs as C
@@ -14,6 +17,9 @@ from ..functions import scales as S
 PIXEL = ["raster_id", "row", "col"]
 LAT_MAX = 85.0511
 
+#: Rows and columns of a block of a raster.
+BLOCK = 256
+
 
 def sample(points: DataFrame, pixels: DataFrame, themes: list[dict]) -> DataFrame:
     """Value of every theme at every point(pid, lon, lat).
@@ -92,20 +98,43 @@ def resample_window(pixels: DataFrame, raster_id: int, grid: tuple[float, float,
 
 
 def gradients(pixels: DataFrame) -> DataFrame:
-    """Horn sums of the 3 × 3 neighbourhood, the edge repeated outwards: (…, gx, gy)."""
-    across = W.partitionBy("raster_id", "row").orderBy("col")
-    down = W.partitionBy("raster_id", "col").orderBy("row")
-    left = F.coalesce(F.lag("value").over(across), F.col("value"))
-    right = F.coalesce(F.lead("value").over(across), F.col("value"))
-    rows = pixels.withColumns({"_d": right - left, "_s": left + 2 * F.col("value") + right})
-
-    def up(c: str) -> Column:
-        return F.coalesce(F.lag(c).over(down), F.col(c))
+    """Horn sums of the 3 × 3 neighbourhood, the edge repeated outwards: (…, gx, gy).
 
-    def below(c: str) -> Column:
-        return F.coalesce(F.lead(c).over(down), F.col(c))
-
-    return rows.withColumns({"gx": up("_d") + 2 * F.col("_d") + below("_d"), "gy": below("_s") - up("_s")}).drop("_d", "_s")
+    Pixels are dealt to square blocks, those along a border to the neighbouring block too; a block is one small matrix, so
+    no task holds a whole row or column of a raster.
+    """
+    def around(axis: str) -> Column:
+        return F.array_distinct(F.array(*[F.floor((F.col(axis) + d) / BLOCK).cast("bigint") for d in (0, -1, 1)]))
+
+    dealt = pixels.withColumn("_br", F.explode(around("row"))).withColumn("_bc", F.explode(around("col")))
+    schema = T.StructType([*pixels.schema.fields, T.StructField("gx", T.DoubleType()), T.StructField("gy", T.DoubleType())])
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        row = table.column("row").to_numpy() - key[1].as_py() * BLOCK + 1
+        col = table.column("col").to_numpy() - key[2].as_py() * BLOCK + 1
+        value = np.full((BLOCK + 2, BLOCK + 2), np.nan)
+        value[row, col] = table.column("value").cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+        def beside(grid: np.ndarray, shift: int, axis: int) -> np.ndarray:
+            moved = np.full_like(grid, np.nan)
+            to = [slice(None), slice(None)]
+            of = [slice(None), slice(None)]
+            to[axis], of[axis] = (slice(1, None), slice(None, -1)) if shift < 0 else (slice(None, -1), slice(1, None))
+            moved[tuple(to)] = grid[tuple(of)]
+            return np.where(np.isnan(moved), grid, moved)
+
+        left, right = beside(value, -1, 1), beside(value, 1, 1)
+        across, summed = right - left, left + 2 * value + right
+        gx = beside(across, -1, 0) + 2 * across + beside(across, 1, 0)
+        gy = beside(summed, 1, 0) - beside(summed, -1, 0)
+        home = np.flatnonzero((row >= 1) & (row <= BLOCK) & (col >= 1) & (col <= BLOCK))
+        out = table.drop_columns(["_br", "_bc"]).take(pa.array(home))
+        for name, grid in (("gx", gx), ("gy", gy)):
+            found = grid[row[home], col[home]]
+            out = out.append_column(name, pa.array(found, pa.float64(), mask=np.isnan(found)))
+        return out
+
+    return dealt.groupBy("raster_id", "_br", "_bc").applyInArrow(run, schema)
 
 
 def hillshade(pixels: DataFrame, dx: Column, dy: Column, azimuth: float = 315.0, altitude: float = 45.0, exaggeration: float = 1.0) -> DataFrame:

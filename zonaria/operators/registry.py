@@ -31,14 +31,14 @@ def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     One join per generation, only from the members found last; the lineage is cut each round in the shared
     checkpoint folder and the loop ends when a round finds nothing new.
     """
-    found = truncate_lineage(roots.select(F.col("id").alias("root"), F.col("id").alias("member")).distinct())
-    latest = found
+    latest = truncate_lineage(roots.select(F.col("id").alias("root"), F.col("id").alias("member")).distinct())
+    found = latest
     while True:
         step = latest.join(edges.withColumnRenamed("parent", "member"), "member").select("root", F.col("child").alias("member")).distinct()
         latest = truncate_lineage(step.join(found, ["root", "member"], "left_anti"))
         if latest.isEmpty():
             return found
-        found = truncate_lineage(found.unionByName(latest))
+        found = found.unionByName(latest)    # generations stay as they were written
 
 
 def families(instruments: DataFrame) -> DataFrame:

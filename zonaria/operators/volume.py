@@ -275,8 +275,8 @@ def terrains(parcels: DataFrame, only_exact: bool = True, limit: int | None = No
 
 
 def reproducible_sample(df: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
-    """At most ``limit`` rows, always the same for a seed (top-k by hash, no full sort)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(limit)
+    """At most ``limit`` rows, always the same for a seed and on any engine (top-k by digest, no full sort)."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(limit)
 
 
 def zone_candidates(pieces: DataFrame, instrument: str, footprints: DataFrame, parcels: DataFrame, ordinances: DataFrame,
