@@ -14,12 +14,15 @@ PIECES = "piece_bpe_32k.model"
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
 LEAST_WORDS, MOST_REPEATED = 10, 20
+#: So many tokens let a text reach all the entropy that is asked of it; a longer text is held to no more.
+RICH = 1_024
 
-# Per script the lowest and highest characters per token, the highest share of bytes without a piece, and the
+# Per script the lowest and highest letters per token, the highest share of bytes without a piece, and the
 # lowest token entropy as a share of what the number of tokens allows. The bands are wide: prose of any language that the
-# vocabularies cover lies well inside, encoded data, byte noise and a few tokens over and over lie outside.
+# vocabularies cover lies well inside; encoded data, words strewn with symbols, byte noise and a few tokens over and over
+# lie outside.
 BANDS = {
-    "latin": (1.25, 12.0, 0.20, 0.35),
+    "latin": (1.40, 12.0, 0.20, 0.35),
     "cyrillic": (0.50, 8.0, 0.30, 0.35),
     "greek": (0.40, 8.0, 0.60, 0.35),
     "semitic": (0.35, 8.0, 0.60, 0.35),
@@ -122,7 +125,7 @@ class Measures:
         pairs, count = np.unique(pairs, return_counts=True)
         row = pairs >> 17
         share = count / np.maximum(n_tokens, 1)[row]
-        entropy = -np.bincount(row, weights=share * np.log2(share), minlength=rows)
+        entropy = -np.bincount(row, weights=share * np.log2(share), minlength=rows).astype(np.float64)  # of no tokens: integers
         by_script = np.stack([total(letters[:, k]) for k in range(len(SCRIPTS))], axis=1)
         return {
             "n_words": n_words,
@@ -130,10 +133,10 @@ class Measures:
             "n_symbols": np.array([len(t) - len(t.translate(None, SYMBOLS)) for t in raw], dtype=np.int64),
             "n_dup_lines": np.array([_repeated_lines(t) for t in texts], dtype=np.int64),
             "n_repeat_words": repeated(owner, ids, WINDOW, rows),
-            "chars_per_token": total(chars) / np.maximum(n_tokens, 1),
+            "chars_per_token": total(letters.sum(axis=1)) / np.maximum(n_tokens, 1),
             "byte_share": total(lost_bytes) / np.maximum(total(all_bytes), 1),
             "entropy": entropy,
-            "entropy_share": entropy / np.maximum(np.log2(np.maximum(n_tokens, 2)), 1),
+            "entropy_share": entropy / np.log2(np.clip(n_tokens, 2, RICH)),
             "script": np.where(by_script.sum(axis=1) > 0, by_script.argmax(axis=1), SCRIPTS.index("other")),
         }
 
@@ -172,7 +175,7 @@ def rated(features: DataFrame, id_col: str = "gid", text_col: str = "zona_desc",
     ``gid``; of the words (runs of anything but ASCII white space) ``n_words``, ``word_chars``; ``n_symbols`` of
     ``#*$%&|<>``; ``n_dup_lines``, lines with a word that equal an earlier line; ``n_repeat_words``, words in windows of
     five found twice or more; ``base_failed`` for under ten words or over 20 % repeated words. Then the fertility of
-    public vocabularies: ``chars_per_token`` and ``entropy`` (bits; ``entropy_share`` of the most possible) of the byte-level
+    public vocabularies: ``chars_per_token`` (letters, as symbols and digits make tokens of their own) and ``entropy`` (bits; ``entropy_share`` of the most possible) of the byte-level
     vocabulary's tokens of the words, ``byte_share`` of the bytes for which the piece vocabulary has no piece, and the
     ``script`` of most letters, whose bands (``BANDS``) a kept description fits. ``reason`` names the first rule broken.
 
