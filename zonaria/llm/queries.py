@@ -93,6 +93,16 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("gid").alias("doc_id"), F.col("idioma").alias("lang"), "perplexity", "threshold", "kept")
 
 
+ORACLES["op6_substring_dedup"] = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+    win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+    firsts AS (SELECT k, min(doc_id) AS d FROM win GROUP BY k),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM win JOIN firsts USING (k) WHERE d < doc_id),
+    g AS (SELECT doc_id, list(i) AS gs, count(*) AS n_removed FROM gone GROUP BY doc_id),
+    words AS (SELECT w.doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+    kept AS (SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.i) AS t FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.i WHERE gone.i IS NULL GROUP BY 1)
+    SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir)).withColumnRenamed("gid", "doc_id")
