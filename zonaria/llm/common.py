@@ -1,7 +1,6 @@
 """What the text operators share: the shared folder, batches of bounded size, words, connected components."""
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -14,24 +13,24 @@ from pyspark.sql.types import DataType, StructType
 
 from ..session import shared_folder
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as compressed Parquet in the shared folder and read back, so that a lost executor
-    costs no recomputation and no later step repeats the work."""
+    costs no recomputation and no later step repeats the work. Shuffle files of the write go as soon as it ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Have shuffle files that nothing refers to any more removed now, not when the driver next collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, made longer until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
@@ -40,7 +39,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that the texts of one hold at most ``limit`` bytes (a single longer text stands alone)."""
     for batch in batches:
         sizes = np.nan_to_num(np.array(pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=float)).astype(np.int64)

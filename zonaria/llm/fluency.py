@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import grouped_with, release, stored, text_batches, texts_of
+from .common import grouped_with, stored, text_batches, texts_of
 
 ORDER = 5
 #: Bits of a character in a gram: code points below 4096 stand for themselves, others share the upper half.
@@ -142,7 +142,6 @@ def perplexities(features: DataFrame, model: DataFrame, id_col: str, text_col: s
         asked = stored(rows.groupBy("group").applyInArrow(ask, "group long, gram long"))
         answers = asked.join(stored(gram_scores(asked.select("gram").distinct(), model)), "gram")
         out.append(stored(grouped_with(rows, F.col("group"), answers, "group", score, "gid long, idioma string, held boolean, perplexity double")))
-        release(features.sparkSession)
     return reduce(DataFrame.unionByName, out)
 
 
@@ -164,7 +163,6 @@ def rate(features: DataFrame, trusted: DataFrame, id_col: str = "gid", text_col:
     for wave in range(WAVES):
         known = _wave(rows, wave).where(~held).join(good, F.col(id_col) == F.col("_good"), "left_semi")
         counts.append(stored(gram_counts(known, text_col)))
-        release(features.sparkSession)
     model = kneser_ney(stored(reduce(DataFrame.unionByName, counts).groupBy("gram").agg(F.sum("n").alias("n"))))
     found = perplexities(rows.withColumn("held", F.coalesce(held, F.lit(False))), model, id_col, text_col, label_col)
     judged = found.where("held").join(good, F.col("gid") == F.col("_good"), "left_semi").where("perplexity is not null")

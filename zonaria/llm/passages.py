@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, grouped_with, release, stored, text_batches, texts_of
+from .common import WORD, grouped_with, stored, text_batches, texts_of
 
 WINDOW = 13
 WORDS = re.compile(WORD)
@@ -19,7 +19,7 @@ BASE, MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 #: Windows that one task sorts at once, and the bytes of text for each that are counted on.
 AT_ONCE, BYTES_EACH = 1 << 20, 6
 #: Descriptions that get their answers together.
-GROUP = 2_000
+GROUP = 1_000
 HEAD = np.dtype([("gap", "<u4"), ("n", "u1")])
 
 
@@ -91,7 +91,7 @@ def bucketed(features: DataFrame, buckets: int, id_col: str, text_col: str, widt
     A window that repeats in a batch is sent for the smallest id alone. The batch itself holds the earlier description of
     the others, which leave as rows ``gid, digest, spans``: runs of window numbers in the text of that digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, text_col, 8 << 20):
+        for batch in text_batches(batches, text_col, 4 << 20):
             ids = batch.column(id_col)
             known = np.flatnonzero(ids.is_valid().to_numpy(zero_copy_only=False))
             gids = ids.take(pa.array(known)).cast(pa.int64()).to_numpy()
@@ -235,7 +235,6 @@ def _answered(features: DataFrame, id_col: str, text_col: str, width: int, use,
     size, rows = features.agg(F.sum(F.octet_length(text_col)), F.count("*")).first()
     buckets, groups = max(1, int((size or 0) // BYTES_EACH // AT_ONCE) + 1), rows // GROUP + 1
     found = stored(repeated_windows(features, id_col, text_col, width, buckets, groups))
-    release(features.sparkSession)
     group = F.pmod(F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(F.col(id_col).cast("long"))), F.lit(groups))
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
