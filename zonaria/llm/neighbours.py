@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import release, stored
+from .common import stored
 
 #: Neighbours of a node in the graph; rounds of descent; size of the groups from which the first neighbours come, and how
 #: many such groupings (the first at random, the others by signs of random projections).
@@ -20,7 +20,7 @@ DEGREE, ROUNDS, GROUP, GROUPINGS = 24, 6, 64, 4
 #: Descent ends when a round changes less than this share of all neighbours.
 SETTLED = 0.002
 #: Candidates that a search keeps, how many of them it expands at once, how many it measures exactly, and its most rounds.
-BEAM, EXPANDED, EXACT, STEPS = 192, 48, 48, 40
+BEAM, EXPANDED, EXACT, STEPS = 192, 96, 48, 40
 EDGE = "u long, w long, d float, fresh boolean"
 
 
@@ -111,8 +111,9 @@ def _pairs(run_key: str, only_fresh: bool):
     return run
 
 
-def nearest_each(edges: DataFrame, most: int) -> DataFrame:
-    """The ``most`` nearest different neighbours of each node; an edge known before stays as it was."""
+def nearest_each(edges: DataFrame, most: int, expanded: int = 0) -> DataFrame:
+    """The ``most`` nearest different neighbours of each node; an edge known before stays as it was. With ``expanded``, a
+    column ``front`` marks the nearest so many of the fresh ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches, "u"):
             u, w = table.column("u").to_numpy(), table.column("w").to_numpy()
@@ -123,9 +124,17 @@ def nearest_each(edges: DataFrame, most: int) -> DataFrame:
             by = by[np.lexsort((w[by], d[by], u[by]))]
             start = np.concatenate(([0], np.flatnonzero(np.diff(u[by])) + 1))
             place = np.arange(len(by)) - np.repeat(start, np.diff(np.append(start, len(by))))
-            yield table.take(pa.array(by[place < most])).combine_chunks().to_batches()[0]
+            by = by[place < most]
+            out = table.take(pa.array(by))
+            if expanded:
+                node, open_ = u[by], fresh[by]
+                seen = np.cumsum(open_)
+                start = np.concatenate(([0], np.flatnonzero(np.diff(node)) + 1))
+                before = np.repeat(seen[start] - open_[start], np.diff(np.append(start, len(by))))
+                out = out.append_column("front", pa.array(open_ & (seen - before <= expanded)))
+            yield out.combine_chunks().to_batches()[0]
 
-    return edges.repartition("u").sortWithinPartitions("u").mapInArrow(run, EDGE)
+    return edges.repartition("u").sortWithinPartitions("u").mapInArrow(run, EDGE + (", front boolean" if expanded else ""))
 
 
 def first_edges(codes: DataFrame, count: int, degree: int) -> DataFrame:
@@ -137,7 +146,7 @@ def first_edges(codes: DataFrame, count: int, degree: int) -> DataFrame:
         for batch in batches:
             vectors = decoded(batch.column("code"))
             for t in range(1, GROUPINGS):
-                plane = np.random.default_rng(t).normal(size=(4096, max(bits, 1)))[: vectors.shape[1]]
+                plane = np.random.default_rng(t).normal(size=(max(4096, vectors.shape[1]), max(bits, 1)))[: vectors.shape[1]]
                 signs = (vectors @ plane > 0)[:, :bits]
                 key = (signs << np.arange(bits)).sum(axis=1).astype(np.int64) if bits else np.zeros(len(vectors), np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("code"), pa.array(np.full(len(key), t)), pa.array(key)], names=["id", "code", "grouping", "key"])
@@ -167,7 +176,6 @@ def neighbour_graph(codes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS
     count = codes.count()
     graph = stored(first_edges(codes, count, degree))
     for _ in range(rounds):
-        release(codes.sparkSession)
         reach = graph.groupBy("u").agg(F.max("d").alias("far"), F.count("*").alias("n")).select(
             F.col("u").alias("w"), F.when(F.col("n") < degree, F.lit(3.0e38)).otherwise(F.col("far")).cast("float").alias("reach"))
         lists = both_ways(graph, degree).join(codes.withColumnRenamed("id", "w").join(reach, "w"), "w").select("v", "w", "code", "reach", "fresh")
@@ -192,19 +200,16 @@ def search(queries: DataFrame, codes: DataFrame, graph: DataFrame, beam: int = B
     neighbours, until all it keeps are expanded. ``fresh`` marks those still to expand.
     """
     links = stored(both_ways(graph.withColumn("fresh", F.lit(True)), degree).select(F.col("v").alias("at"), "w"))
-    asked = queries.join(codes.withColumnRenamed("id", "u"), "u").withColumnRenamed("code", "asked")
-    state = stored(asked.select("u").join(graph, "u").select("u", "w", "d", F.lit(True).alias("fresh")))
+    asked = stored(queries.join(codes.withColumnRenamed("id", "u"), "u").withColumnRenamed("code", "asked"))
+    state = stored(nearest_each(asked.select("u").join(graph, "u").select("u", "w", "d", F.lit(True).alias("fresh")), beam, expanded))
     for _ in range(STEPS):
-        release(codes.sparkSession)
-        turn = W.partitionBy("u").orderBy("d", "w")
-        front = stored(state.where("fresh").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= expanded).select("u", F.col("w").alias("at")))
+        front = state.where("front").select("u", F.col("w").alias("at"))
         if front.isEmpty():
             break
-        reached = front.join(links, "at").where("u <> w").select("u", "w").distinct().join(state.select("u", "w"), ["u", "w"], "left_anti")
-        met = reached.join(asked, "u").join(codes.withColumnRenamed("id", "w"), "w").mapInArrow(_measured, EDGE)
-        done = state.join(front.withColumnRenamed("at", "w").withColumn("now", F.lit(True)), ["u", "w"], "left").select(
-            "u", "w", "d", (F.col("fresh") & F.col("now").isNull()).alias("fresh"))
-        state = stored(nearest_each(done.unionByName(met), beam))
+        reached = front.join(links, "at").where("u <> w").select("u", "w").distinct()
+        met = reached.join(codes.withColumnRenamed("id", "w"), "w").join(asked, "u").mapInArrow(_measured, EDGE)
+        done = state.select("u", "w", "d", (F.col("fresh") & ~F.col("front")).alias("fresh"))
+        state = stored(nearest_each(done.unionByName(met), beam, expanded))
     return state.select("u", "w", "d")
 
 
@@ -225,7 +230,6 @@ def nearest(vectors: DataFrame, wanted: str, id_col: str = "id", vector_col: str
     nodes = stored(heads.select("id", "v"))
     members = stored(members.join(nodes.withColumnRenamed("id", "node"), "v").select("node", "id"))
     codes = stored(coded(nodes))
-    release(spark)
     asking = stored(usable(vectors.where(wanted), id_col, vector_col).distinct().join(nodes.withColumnRenamed("id", "u"), "v").select(F.col("id").alias("query_id"), "u", "v"))
     graph = neighbour_graph(codes)
     found = search(asking.select("u").distinct(), codes, graph)
