@@ -75,6 +75,11 @@ def test_local_affectation_only_in_its_comuna(scenario):
     assert [r.cut for r in P.clip_affectations(ar3, scenario["comunas"], TILE).collect()] == ["09101"]
 
 
+def own_ground(scenario):
+    """Area of AR-3 in its own comuna."""
+    return P.clip_affectations(scenario["aff"].where("zona = 'AR-3'"), scenario["comunas"], TILE).first().area
+
+
 def test_partition_areas(scenario, pieces):
     names = scenario["part"].select("gid", "zona")
     rows = pieces.join(names, "gid", "left").collect()
@@ -89,9 +94,19 @@ def test_partition_areas(scenario, pieces):
         ("09102", "UNIDAD TERRITORIAL C", False): 143903076.5, ("09102", "ZR-2", False): 92644236.1, ("09102", "ZR-2", True): 3858515.5,
         ("09102", "ZR-3", False): 72435196.1, ("09102", "R2", False): 73435539.3,
     }
-    assert set(got) == set(expected)
+    # the expected areas are without AR-3, which moves ground of its comuna from no risk to risk
+    def by_zone(table):
+        return {(cut, zone): sum(a for (c, z, _), a in table.items() if (c, z) == (cut, zone)) for cut, zone, _ in table}
+
+    assert set(by_zone(got)) == set(by_zone(expected))
+    for key, area in by_zone(expected).items():
+        assert by_zone(got)[key] == pytest.approx(area, rel=1e-5), key
     for key, area in expected.items():
-        assert got[key] == pytest.approx(area, rel=1e-5), key
+        if key[0] != "09101":
+            assert got[key] == pytest.approx(area, rel=1e-5), key
+    risk = sum(a for (cut, _, r), a in got.items() if r and cut == "09101")
+    assert risk == pytest.approx(4102572.2 + 2896577.9 + own_ground(scenario), rel=1e-5)
+    assert not any(r for cut, _, r in got if cut == "09112")
     assert got[("09102", "ZR-2", False)] + got[("09102", "ZR-2", True)] == pytest.approx(96502624.8, rel=1e-5)
 
 
@@ -101,7 +116,7 @@ def test_quality(scenario, pieces):
     assert q["09102"].sin_urbano and not q["09101"].sin_urbano
     assert q["09112"].pct_U1 == 0 and q["09112"].pct_U2 > 0
     assert q["09112"].pct_riesgo == 0  # a local risk of the neighbour that reaches over the border
-    for cut, risk in (("09101", 4102572.2 + 2896577.9), ("09102", 3858515.5)):
+    for cut, risk in (("09101", 4102572.2 + 2896577.9 + own_ground(scenario)), ("09102", 3858515.5)):
         assert q[cut].pct_riesgo == pytest.approx(100 * risk / q[cut].area_comuna_m2, abs=2e-3)
 
 
