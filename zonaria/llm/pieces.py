@@ -15,7 +15,7 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 LONGEST = 16
 #: Distinct words whose ids a task keeps from batch to batch, and characters of new words that it matches at once.
-KEPT_WORDS, MATCHED = 400_000, 1 << 20
+KEPT_WORDS, MATCHED = 400_000, 1 << 18
 
 
 def merge_order(symbols: list[str], rank: dict[str, int]) -> tuple[list[str], tuple[str, str] | None]:
