@@ -175,6 +175,18 @@ def test_disclosing_terms_go_and_copies_do_not_disclose(spark):
     assert all(rows[12 + i].zona_desc == t for i, t in enumerate(rest))
 
 
+def test_terms_of_entities_in_one_or_two_texts_go(spark):
+    twice = [f"lote {i} de Quetrupillan fono +56 9 1234 5678" for i in range(2)]
+    once = ["sitio de Waldvogel correo w@x.org"] * 4
+    rest = [f"lote de sitio {i} fono correo" for i in range(1500)] + ["lote Mallco fono"] * 50
+    shared = [f"lote {i} Mallco 10.0.0.1" for i in range(2, 6)]
+    rows = {r.gid: r.zona_desc for r in pii.sanitised(frame(spark, twice + once + shared + rest)).collect()}
+    assert [rows[i] for i in range(2)] == [f"lote {i} de [] fono [phone]" for i in range(2)]
+    assert all(rows[i] == "sitio de [] correo [email]" for i in range(2, 6))
+    assert all(rows[i] == f"lote {i - 4} [] [ip]" for i in range(6, 10))  # fifty copies of a text count as one
+    assert all(rows[10 + i] == f"lote de sitio {i} fono correo" for i in range(1500))
+
+
 def test_sanitised_keeps_rows_and_columns(spark):
     df = odd(spark).withColumn("_text", F.lit(1)).withColumn("_digest", F.lit(2)).withColumn("_spans", F.lit(3))
     out = pii.sanitised(df)

@@ -20,10 +20,10 @@ PATTERNS = {
 }
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 TERM = r"\p{L}[\p{L}'-]++"
-#: Words of at least two letters within so many characters on either side of a span are held against it.
-REACH = 80
-#: A term discloses an entity if it says this share of the entity's information and does so in this many different texts.
-DISCLOSURE, SUPPORT = 0.9, 3
+#: A term discloses an entity if it says this share of the entity's information.
+DISCLOSURE = 0.9
+#: How many texts the entity's share in the corpus weighs as when a term's share of texts with the entity is estimated.
+PRIOR = 1.0
 BLOCK = 128
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -85,74 +85,116 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[spans_of(text, number, kind) for number, kind in enumerate(KINDS)]))
 
 
-def terms_near(text: Column, spans: Column) -> Column:
-    """Words around each span: ``array<struct<entity, term, start, end>>``. A word that the reach cuts off is left out."""
-    def words(part: Column, base: Column, outer_edge: str) -> Column:
-        full = F.char_length(part) == REACH
-        cut = (lambda w: w["start"] > 0) if outer_edge == "left" else (lambda w: w["end"] < REACH)
-        return F.transform(F.filter(matches(part, TERM), lambda w: ~full | cut(w)), lambda w: F.struct(
-            F.lower(w["value"]).alias("term"), (base + w["start"]).alias("start"), (base + w["end"]).alias("end")))
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of ``spans`` (by start), all other characters where they were."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def around(span: Column) -> Column:
-        entity = F.xxhash64(span["kind"], F.lower(span["value"]))
-        before = F.substring(text, F.greatest(span["start"] - REACH, F.lit(0)) + 1, F.least(span["start"], F.lit(REACH)))
-        after = F.substring(text, span["end"] + 1, F.lit(REACH))
-        both = F.concat(bound(before, lambda b: words(b, span["start"] - F.char_length(b), "left")), words(after, span["end"], "right"))
-        return F.transform(both, lambda w: F.struct(entity.alias("entity"), w["term"].alias("term"), w["start"].alias("start"), w["end"].alias("end")))
+    def add(acc: Column, s: Column) -> Column:
+        open_part = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.array_append(acc["parts"], F.concat(open_part, blank)).alias("parts"))
 
-    return F.flatten(F.transform(spans, around))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
+        spans, start, add, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.char_length(text)))))
 
 
-def disclosing_terms(texts: DataFrame, found: DataFrame, text_col: str, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """``entity, term``: the terms whose pointwise mutual information with a protected entity reaches ``disclosure`` of the
-    entity's own information content, over all documents of the corpus.
+def hashed(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
 
-    Probabilities are shares of documents; a term counts towards an entity where it stands near it. ``support`` counts
-    different texts, so copies of one text never make its words disclosing.
+
+def different_texts(texts: DataFrame, text_col: str) -> DataFrame:
+    """Each different text once: ``digest``, its ``spans`` and its ``words``, the text with blanks in place of the spans. Stored."""
+    once = texts.select(digest_of(F.col(text_col)).alias("digest"), F.col(text_col).alias("_text")).groupBy("digest").agg(F.first("_text").alias("_text"))
+    return stored(once.withColumn("spans", base_spans(F.col("_text"))).select("digest", "spans", masked(F.col("_text"), F.col("spans")).alias("words")))
+
+
+def digest_of(text: Column) -> Column:
+    return F.xxhash64(text, F.octet_length(text))
+
+
+def words_with_entities(different: DataFrame, most: float) -> DataFrame:
+    """``digest, term, with_term``: the different words of every text that holds an entity, as hashes, with the number of
+    different texts that hold the word, where that is at most ``most``. Stored."""
+    words = F.array_distinct(F.transform(F.regexp_extract_all(F.col("words"), F.lit(TERM), F.lit(0)), hashed))
+    frequency = different.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term")).where(F.col("with_term") <= most)
+    return stored(different.where(F.size("spans") > 0).select("digest", F.explode(words).alias("term")).join(frequency, "term").select("digest", "term", "with_term"))
+
+
+def disclosing_terms(different: DataFrame, disclosure: float = DISCLOSURE, prior: float = PRIOR) -> tuple[DataFrame, DataFrame] | None:
+    """The terms (``term``, a hash, and ``with_term``) whose pointwise mutual information with a protected entity reaches
+    ``disclosure`` of the entity's own information content, and the words they were looked for among
+    (:func:`words_with_entities`). None where no text holds an entity that says anything.
+
+    Entity, term, both and all are counted over different texts, a term towards an entity wherever one text holds both. The
+    share of a term's texts that hold the entity is estimated with ``prior`` texts in which the entity is as frequent as in
+    the corpus, so an entity of a single text is disclosed by the words of that text alone as soon as the corpus is large
+    enough for them to say as much, and never by words that are copied with it.
+
+    Entities of the same texts have the same terms and are counted as one. A word in more texts than could disclose any
+    entity of its text is left out before pairs are made; that changes no result.
     """
-    rows = texts.count()
-    near = found.where(F.size("near") > 0).select("digest", F.explode("near").alias("n")).select("digest", "n.entity", "n.term")
-    together = (near.groupBy("entity", "term", "digest").count().groupBy("entity", "term").agg(F.count("*").alias("texts")).where(F.col("texts") >= support))
-    entities = (found.where(F.size("spans") > 0).select("digest", F.explode("spans").alias("s"))
-                .select("digest", F.xxhash64(F.col("s.kind"), F.lower("s.value")).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("with_entity")))
-    words = F.array_distinct(F.transform(F.regexp_extract_all(F.col(text_col), F.lit(TERM), F.lit(0)), F.lower))
-    frequency = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
-    scored = together.join(entities, "entity").join(frequency, "term")
-    total = F.lit(float(max(rows, 1)))
-    information = F.log(total / F.col("with_entity"))
-    mutual = F.log(F.col("texts") * total / (F.col("with_entity") * F.greatest("with_term", "texts")))
-    return scored.where((information > 0) & (mutual >= disclosure * information)).select("entity", "term")
-
-
-def personal_data(features: DataFrame, id_col: str = "gid", text_col: str = "zona_desc", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    total = float(max(different.count(), 1))
+    held = stored(different.where(F.size("spans") > 0).select("digest", F.explode("spans").alias("s"))
+                  .select("digest", F.xxhash64(F.col("s.kind"), F.lower("s.value")).alias("entity")).distinct())
+    alike = held.groupBy("entity").agg(F.count("*").alias("with_entity"), F.bit_xor("digest").alias("x"), F.bit_xor(F.xxhash64("digest")).alias("y"))
+    share = F.col("with_entity") / total
+    alike = alike.where(share < 1).select("entity", F.xxhash64("with_entity", "x", "y").alias("group"), "with_entity", share.alias("share"), F.pow(share, 1 - disclosure).alias("least"))
+    alike = alike.withColumn("most", (F.col("with_entity") + prior * F.col("share")) / F.col("least") - prior + 1e-6)
+    most = alike.agg(F.max("most")).first()[0]
+    if most is None:
+        return None
+    words = words_with_entities(different, most)
+    groups = held.join(alike, "entity").drop("entity").distinct()
+    pairs = words.join(groups, "digest").where(F.col("with_term") <= F.col("most"))
+    both = pairs.groupBy("group", "term").agg(F.count("*").alias("both"), *[F.first(c).alias(c) for c in ("with_term", "share", "least")])
+    estimate = (F.col("both") + prior * F.col("share")) / (F.col("with_term") + prior)
+    return stored(both.where(estimate >= F.col("least")).select("term", "with_term").distinct()), words
+
+
+def placed_words(different: DataFrame) -> DataFrame:
+    return different.select("digest", F.explode(matches(F.col("words"), TERM)).alias("w")).select("digest", hashed(F.col("w.value")).alias("term"), "w.start", "w.end")
+
+
+def term_spans(different: DataFrame, disclosure: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame | None:
+    """``digest, start, end`` of the disclosing terms, or None where there are none."""
+    found = disclosing_terms(different, disclosure, prior)
+    if found is None:
+        return None
+    telling, words = found
+    marked = words.join(telling.select("term"), "term").select("digest", "term")
+    return placed_words(different.where(F.size("spans") > 0)).join(marked, ["digest", "term"]).select("digest", "start", "end")
+
+
+def personal_data(features: DataFrame, id_col: str = "gid", text_col: str = "zona_desc", disclosure: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
     """Personal data in every description: ``gid, digest, spans``, the spans as ``array<struct<start, kind, end>>`` by start
     with the kinds ``email, ip, card, phone, term`` as numbers and code point positions (end exclusive).
 
-    The first four kinds are patterns with checks. A ``term`` is a word near such a span that the corpus shows to give it
-    away (:func:`disclosing_terms`). ``digest`` identifies the text. Null and empty texts have no spans; a null or repeated
-    ``gid`` is a row like any other; equal rows have equal results. Other columns are not read. Empty in, empty out.
+    The first four kinds are patterns with checks. A ``term`` is a word of at least two letters outside such spans that the
+    corpus shows to give one of them away (:func:`disclosing_terms`). ``digest`` identifies the text. Null and empty texts
+    have no spans; a null or repeated ``gid`` is a row like any other; equal rows have equal results. Other columns are not
+    read. Empty in, empty out.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = features.select(id_col, text.alias(text_col))
-    spanned = texts.withColumn("spans", base_spans(F.col(text_col)))
-    found = stored(spanned.select(id_col, F.xxhash64(text_col, F.octet_length(text_col)).alias("digest"), "spans", F.when(
-        F.size("spans") > 0, terms_near(F.col(text_col), F.col("spans"))).otherwise(F.array().cast("array<struct<entity:bigint,term:string,start:int,end:int>>")).alias("near")))
-    telling = disclosing_terms(texts, found, text_col, disclosure, support)
-    extra = (found.where(F.size("near") > 0).select("digest", F.explode("near").alias("n")).select("digest", "n.*").distinct()
-             .join(telling, ["entity", "term"]).groupBy("digest")
-             .agg(F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("more")))
+    different = different_texts(texts, text_col)
+    kind = "array<struct<start:int,kind:int,end:int>>"
     base = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return (found.select(id_col, "digest", base.alias("base")).join(extra.withColumnRenamed("digest", "_digest"), F.col("digest") == F.col("_digest"), "left")
-            .select(id_col, "digest", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,end:int>>")))).alias("spans")))
+    marks = different.where(F.size("spans") > 0).select(F.col("digest").alias("_digest"), F.explode(base).alias("m"))
+    terms = term_spans(different, disclosure, prior)
+    if terms is not None:
+        marks = marks.unionByName(terms.select(F.col("digest").alias("_digest"), F.struct("start", F.lit(len(KINDS)).alias("kind"), "end").alias("m")))
+    marks = marks.groupBy("_digest").agg(F.array_sort(F.collect_set("m")).alias("spans"))
+    keyed = texts.select(id_col, digest_of(F.col(text_col)).alias("digest"))
+    return keyed.join(marks, F.col("digest") == F.col("_digest"), "left").select(id_col, "digest", F.coalesce("spans", F.array().cast(kind)).alias("spans"))
 
 
-def sanitised(features: DataFrame, id_col: str = "gid", text_col: str = "zona_desc", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def sanitised(features: DataFrame, id_col: str = "gid", text_col: str = "zona_desc", disclosure: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
     """The features with personal data in ``zona_desc`` generalised to the name of its kind in brackets, terms removed.
 
     Overlapping spans become one, named after the first. All columns and rows stay; null texts stay null.
     """
     key, of, found = (free_name(features, n) for n in ("_text", "_digest", "_spans"))
-    marks = personal_data(features, id_col, text_col, disclosure, support).where(F.size("spans") > 0).groupBy(F.col("digest").alias(of)).agg(F.first("spans").alias(found))
+    marks = personal_data(features, id_col, text_col, disclosure, prior).where(F.size("spans") > 0).groupBy(F.col("digest").alias(of)).agg(F.first("spans").alias(found))
     text = F.col(text_col)
     label = F.array(*[F.lit(f"[{k}]") for k in KINDS], F.lit("[]"))
 
