@@ -187,6 +187,17 @@ def test_terms_of_entities_in_one_or_two_texts_go(spark):
     assert all(rows[10 + i] == f"lote de sitio {i} fono correo" for i in range(1500))
 
 
+@pytest.mark.parametrize("at_hand", [1 << 17, 0])
+def test_disclosing_terms_go_far_from_the_entity_and_without_it(spark, monkeypatch, at_hand):
+    monkeypatch.setattr(pii, "AT_HAND", at_hand)
+    told = [f"Waldvogel {'lote y fin ' * 30}{i} correo w@x.org" for i in range(6)]
+    alone = ["vio a WALDVOGEL y a Waldvogel hoy"]
+    rest = [f"lote y fin {i} hoy vio a correo" for i in range(200)]
+    rows = {r.gid: r.zona_desc for r in pii.sanitised(frame(spark, told + alone + rest)).collect()}
+    assert [rows[i] for i in range(6)] == [f"[] {'lote y fin ' * 30}{i} correo [email]" for i in range(6)]
+    assert rows[6] == "vio a [] y a [] hoy" and all(rows[7 + i] == t for i, t in enumerate(rest))
+
+
 def test_sanitised_keeps_rows_and_columns(spark):
     df = odd(spark).withColumn("_text", F.lit(1)).withColumn("_digest", F.lit(2)).withColumn("_spans", F.lit(3))
     out = pii.sanitised(df)

@@ -24,7 +24,9 @@ TERM = r"\p{L}[\p{L}'-]++"
 DISCLOSURE = 0.9
 #: How many texts the entity's share in the corpus weighs as when a term's share of texts with the entity is estimated.
 PRIOR = 1.0
-BLOCK = 128
+#: So many counted terms go to every task; more are met by a shuffle.
+AT_HAND = 1 << 17
+BLOCK = 16
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -33,16 +35,18 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def running(steps: Column) -> Column:
-    """Running sums of an array of integers, in blocks, so that long arrays stay far from quadratic."""
+def running(steps: Column, levels: int = 2) -> Column:
+    """Running sums of an array of integers, in blocks of blocks, so that long arrays stay far from quadratic."""
     def total(part: Column) -> Column:
         return F.aggregate(part, F.lit(0), lambda acc, x: acc + x)
 
     def placed(blocks: Column) -> Column:
         sums = F.transform(blocks, total)
-        return bound(sums, lambda s: F.flatten(F.transform(blocks, lambda part, b: bound(
-            total(F.slice(s, 1, b)), lambda base: F.transform(part, lambda _, i: base + total(F.slice(part, 1, i + 1)))))))
+        return bound(sums, lambda s: bound(running(s, levels - 1), lambda ends: F.flatten(F.transform(blocks, lambda part, b: bound(
+            ends[b] - s[b], lambda base: F.transform(part, lambda _, i: base + total(F.slice(part, 1, i + 1))))))))
 
+    if not levels:
+        return F.transform(steps, lambda _, i: total(F.slice(steps, 1, i + 1)))
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK).cast("int")), lambda b: F.slice(steps, b * BLOCK + 1, BLOCK))
     return bound(blocks, placed)
 
@@ -156,13 +160,21 @@ def placed_words(different: DataFrame) -> DataFrame:
 
 
 def term_spans(different: DataFrame, disclosure: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame | None:
-    """``digest, start, end`` of the disclosing terms, or None where there are none."""
+    """``digest, start, end`` of every occurrence of a disclosing term, or None where there are none: in the texts that hold
+    an entity, and in all others for the terms that these texts hold too."""
     found = disclosing_terms(different, disclosure, prior)
     if found is None:
         return None
     telling, words = found
-    marked = words.join(telling.select("term"), "term").select("digest", "term")
-    return placed_words(different.where(F.size("spans") > 0)).join(marked, ["digest", "term"]).select("digest", "start", "end")
+    own = words.join(telling.select("term"), "term").select("digest", "term")
+    marked = placed_words(different.where(F.size("spans") > 0)).join(own, ["digest", "term"]).select("digest", "start", "end")
+    beside = words.groupBy("term").agg(F.count("*").alias("beside"))
+    elsewhere = stored(telling.join(beside, "term").where(F.col("with_term") > F.col("beside")).select("term"))
+    many = elsewhere.count()
+    if not many:
+        return marked
+    elsewhere = F.broadcast(elsewhere) if many <= AT_HAND else elsewhere
+    return marked.unionByName(placed_words(different.where(F.size("spans") == 0)).join(elsewhere, "term").select("digest", "start", "end"))
 
 
 def personal_data(features: DataFrame, id_col: str = "gid", text_col: str = "zona_desc", disclosure: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
