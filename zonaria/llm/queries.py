@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import fluency, language, neighbours, packing, passages, pieces, pii, quality, sharding, simhash
+from . import fluency, language, neighbours, packing, passages, periods, pieces, pii, quality, sharding, simhash, wordbpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,6 +108,38 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir)).withColumnRenamed("gid", "doc_id")
 
 
+@query
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = wordbpe.encode_words(documents(spark, sf_dir))
+    return wordbpe.decode_words(encoded).select(
+        F.col("gid").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("zona_desc", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth of ``documents`` by the checksum of its id repeats its words from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size("w").cast("long"), F.floor(h / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    at = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    planted = docs.withColumn("w", F.when(h % 10 == 0, words)).withColumn("a", F.when(n > 0, a)).withColumn("p", F.when(n > 0, p))
+    return planted.withColumn("text", F.when(F.col("p").isNotNull(), F.array_join(at, " ")).otherwise(F.col("text"))).drop("w", "a", "p")
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    runs = F.col("repeticiones")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r["largo"].alias("l"), (-r["inicio"]).alias("s"), (-r["periodo"]).alias("p"))))
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["inicio"], r["largo"], r["periodo"]), F.lit("\n")))
+    return periods.repeated_runs(descriptions(with_planted_runs(docs))).withColumn("m", longest).select(
+        F.col("gid").alias("doc_id"), F.size(runs).cast("long").alias("n_runs"), (-F.col("m.s")).alias("start"), F.col("m.l").alias("length"),
+        (-F.col("m.p")).alias("period"), F.floor(1000 * F.col("m.l") / -F.col("m.p")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("zona_desc", 256).alias("collapsed_sha256"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
