@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import fluency, language, neighbours, packing, passages, periods, pieces, pii, quality, sharding, simhash, wordbpe
+from . import fluency, language, neighbours, packing, passages, periods, phrases, pieces, pii, quality, sharding, simhash, wordbpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,6 +140,35 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("zona_desc", 256).alias("collapsed_sha256"))
 
 
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir, F.col("lang").alias("idioma"))).select(
+        F.col("idioma").alias("lang"), F.col("puesto").alias("rank"), F.col("frase").alias("phrase"), "a", "l", "r", "n", F.col("puntaje").alias("score"))
+
+
+ORACLES["op13_phrase_collocations"] = r"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+    numbered AS (SELECT lang, row_number() OVER () AS p, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM numbered GROUP BY lang),
+    words AS (SELECT lang, p, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM numbered),
+    ahead AS (SELECT lang, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM words WINDOW o AS (PARTITION BY p ORDER BY i)),
+    grams AS (SELECT lang, w AS phrase, 1 AS m, count(*) AS f FROM ahead GROUP BY ALL
+        UNION ALL SELECT lang, w || ' ' || w2, 2, count(*) FROM ahead WHERE w2 IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT lang, w || ' ' || w2 || ' ' || w3, 3, count(*) FROM ahead WHERE w3 IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT lang, w || ' ' || w2 || ' ' || w3 || ' ' || w4, 4, count(*) FROM ahead WHERE w4 IS NOT NULL GROUP BY ALL),
+    often AS (SELECT * FROM grams WHERE f >= 30),
+    cuts AS (SELECT o.lang, o.phrase, o.m, o.f AS a, k, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * o.f // (l.f + r.f) AS BIGINT) AS score
+        FROM often o JOIN range(1, 4) AS ks(k) ON k < o.m
+        JOIN often l ON l.lang = o.lang AND l.phrase = array_to_string(string_split(o.phrase, ' ')[1:k], ' ')
+        JOIN often r ON r.lang = o.lang AND r.phrase = array_to_string(string_split(o.phrase, ' ')[k + 1:o.m], ' ')),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (SELECT o.lang, array_to_string(string_split(o.phrase, ' ')[s:s + size - 1], ' ') AS phrase, max(o.f) AS f
+        FROM often o JOIN range(2, 4) AS sizes(size) ON size < o.m JOIN range(1, 4) AS firsts(s) ON s + size - 1 <= o.m GROUP BY 1, 2),
+    kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE inside.f IS NULL OR CAST(100 AS HUGEINT) * inside.f < CAST(80 AS HUGEINT) * best.a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
