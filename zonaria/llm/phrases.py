@@ -26,12 +26,30 @@ BATCH = 8 << 20
 UNKNOWN = "und"
 #: Ends a piece; no byte of UTF-8.
 STOP = b"\xff"
+MIX = 0x9E3779B97F4A7C15
 FOLDED = bytes(0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 COUNTED = "grupo string, frase string, palabras int, n long"
 
 
-def code_of(group: bytes, phrase: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(group + STOP + phrase) & BITS - 1
+def word_code(group: bytes, word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(group + STOP + word)
+
+
+def longer_code(code: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Codes of phrases with one more word."""
+    code = code * np.uint64(MIX) + word
+    return code ^ code >> np.uint64(29)
+
+
+def codes_of(groups: list[str], phrases: list[str]) -> np.ndarray:
+    """The code of each phrase, from its words one by one."""
+    words = [[word_code(g.encode(), w) for w in p.encode().split(b" ")] for g, p in zip(groups, phrases)]
+    size = np.array([len(w) for w in words], dtype=np.int64)
+    out = np.array([w[0] for w in words], dtype=np.uint64)
+    for k in range(1, int(size.max(initial=0))):
+        more = np.flatnonzero(size > k)
+        out[more] = longer_code(out[more], np.array([words[i][k] for i in more.tolist()], dtype=np.uint64))
+    return out
 
 
 class Known:
@@ -41,21 +59,26 @@ class Known:
         self.bits = np.zeros(BITS >> 3, dtype=np.uint8) if bits is None else bits
 
     def has(self, codes: np.ndarray) -> np.ndarray:
-        return (self.bits[codes >> 3] >> (codes & 7).astype(np.uint8) & 1).astype(bool)
+        place = self.place(codes)
+        return (self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+    @staticmethod
+    def place(codes: np.ndarray) -> np.ndarray:
+        return (codes * np.uint64(MIX) >> np.uint64(65 - BITS.bit_length())).astype(np.int64)
 
     def with_phrases(self, phrases: DataFrame) -> Known:
         """Also ``phrases(grupo, frase)``: executors set the bits, the driver gets the map, at most 8 MB."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                codes = [1 + code_of(g.encode(), p.encode()) for g, p in zip(batch.column("grupo").to_pylist(), batch.column("frase").to_pylist())]
-                yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64())], names=["code"])
+                codes = codes_of(batch.column("grupo").to_pylist(), batch.column("frase").to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(1 + self.place(codes))], names=["code"])
 
         maps = (phrases.select("grupo", "frase").mapInArrow(run, "code long")
                 .groupBy(F.bitmap_bucket_number("code").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias("bits")))
         out = self.bits.copy()
         for row in maps.collect():
             held = np.frombuffer(bytes(row.bits), dtype=np.uint8)
-            at = (row.part - 1) * len(held)  # parts and the codes in them count from 1
+            at = (row.part - 1) * len(held)  # parts and places in them count from 1
             out[at:at + len(held)] |= held
         return Known(out)
 
@@ -66,15 +89,27 @@ def words_of(texts: list[str]) -> list[bytes]:
 
 
 def phrases_in(group: bytes, texts: list[str], longest: int, known: Known | None, before: Known | None, only: int | None) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """Phrases of ``texts`` with their occurrences, by length. A phrase is counted if its first and its last words but one
-    are in ``known`` (single words always), except if they were in ``before`` already; with ``only``, of that length."""
+    """Phrases of ``texts`` with their occurrences, by length. A phrase is open, and counted, if its first and its last
+    words but one are in ``known`` (single words always); with ``only``, those of that length alone.
+
+    With ``before`` those that were open under ``before`` are left out, and the others also open longer phrases as if
+    they were known: whatever turns out frequent among them has been counted together with all that it opens.
+    """
     words = words_of(texts)
     number: dict[bytes, int] = {STOP: 0}
     at = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64)
-    single, inside, ids = list(number), at > 0, at
-    names = single
-    times = np.bincount(at, minlength=len(names))
-    open_now, open_before = inside, inside & (before is not None)
+    single = list(number)
+    word_codes = np.array([word_code(group, w) for w in single], dtype=np.uint64)
+    ids, codes, times, made = at, word_codes, np.bincount(at, minlength=len(single)), []
+    open_now = at > 0
+    open_before = open_now & (before is not None)
+
+    def names(size: int, which: np.ndarray) -> list[bytes]:
+        if size == 1:
+            return [single[i] for i in which.tolist()]
+        keys = made[size - 2][which]
+        return [a + b" " + b for a, b in zip(names(size - 1, keys >> 32), names(1, keys & 0xFFFFFFFF))]
+
     for size in range(1, longest + 1):
         if size > 1:
             end = len(at) - size + 1
@@ -84,19 +119,24 @@ def phrases_in(group: bytes, texts: list[str], longest: int, known: Known | None
             open_before = live_before[:end] & live_before[1:end + 1]
             place = np.flatnonzero(open_now)
             keys, held, times = np.unique(ids[place] << 32 | at[place + size - 1], return_inverse=True, return_counts=True)
-            names = [names[a] + b" " + single[b] for a, b in zip((keys >> 32).tolist(), (keys & 0xFFFFFFFF).tolist())]
+            made.append(keys)
+            codes = longer_code(codes[keys >> 32], word_codes[keys & 0xFFFFFFFF])
             ids = np.zeros(end, dtype=np.int64)
             ids[place] = held
+        fresh = open_now & ~open_before
         if only is None or only == size:
-            fresh = np.zeros(len(names), dtype=bool)
-            fresh[ids[open_now & ~open_before]] = True
-            fresh = np.flatnonzero(fresh)
-            yield size, [names[i] for i in fresh.tolist()], times[fresh]
+            new = np.zeros(len(codes), dtype=bool)
+            new[ids[fresh]] = True
+            new = np.flatnonzero(new)
+            yield size, names(size, new), times[new]
         if size == longest or known is None or size == only:
             return
-        codes = np.array([code_of(group, name) for name in names], dtype=np.int64)
         live = open_now & known.has(codes)[ids]
-        live_before = open_before & before.has(codes)[ids] if before else np.zeros(len(ids), dtype=bool)
+        if before is not None:
+            live |= fresh
+            live_before = open_before & before.has(codes)[ids]
+        else:
+            live_before = np.zeros(len(ids), dtype=bool)
 
 
 def counted(texts: DataFrame, longest: int, known: Known | None = None, before: Known | None = None, only: int | None = None) -> DataFrame:
@@ -138,19 +178,17 @@ def frequent_phrases(texts: DataFrame, sample: Column, least: int = LEAST, longe
     phrase counts the words of a group.
 
     Rows of ``sample`` propose phrases. A pass over all texts counts these and their negative border: phrases that were
-    not proposed though their parts were. The border is not listed; a phrase of it is met where it stands. Border phrases
-    that turn out frequent open longer ones, which further passes count until none is new; each makes phrases a word
-    longer, so there are at most ``longest - 1``.
+    not proposed though their parts were. The border is not listed; a phrase of it is met where it stands. If a border
+    phrase turns out frequent, a further pass counts the phrases that it opens, those that they would open, and so on up
+    to ``longest`` words, so that nothing is left open after it.
     """
     found, known = proposals(stored(texts.where(sample)), longest, proposed)
     frequent = (F.col("n") >= least) | (F.col("frase") == "")
     result = stored(counted(texts, longest, known).where(frequent))
-    new = stored(result.where("frase <> ''").join(found, ["grupo", "frase"], "left_anti"))
-    while not new.isEmpty():
-        before, known = known, known.with_phrases(new)
-        new = stored(counted(texts, longest, known, before).where(frequent))
-        result = result.unionByName(new)
-    return result
+    failed = stored(result.where("frase <> ''").join(found, ["grupo", "frase"], "left_anti"))
+    if failed.isEmpty():
+        return result
+    return result.unionByName(stored(counted(texts, longest, known.with_phrases(failed), known).where(frequent)))
 
 
 def _part(first: Column | int, count: Column | int) -> Column:
