@@ -21,7 +21,9 @@ NEVER = 1 << 40
 #: Characters up to which a plain search for the lowest rank is faster than a heap.
 SHORT = 48
 #: Distinct words whose ids a task keeps from batch to batch.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
+#: Bytes of ids that are decoded at once.
+DECODED = 1 << 20
 
 
 def ranges_of(held: np.ndarray) -> str:
@@ -299,7 +301,7 @@ def decode_words(encoded: DataFrame, ids_col: str = "ids", text_col: str = "zona
     _, names = vocabulary(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_batches(batches, ids_col, DECODED):
             texts = [" ".join([t for t in map(names.__getitem__, np.frombuffer(ids or b"", dtype="<u4").tolist()) if t]) for ids in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text_col])
 
