@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -86,3 +88,32 @@ def web_lon(x: Column) -> Column:
 
 def web_lat(y: Column) -> Column:
     return F.degrees(2 * F.atan(F.exp(y / WEB_RADIUS)) - math.pi / 2)
+
+
+# Interrupted Goode homolosine on the sphere: radius, latitude of the change of projection (degrees), offset of
+# the outer part in radii, and the lobes (west, east, central meridian) of each hemisphere.
+GOODE_RADIUS = 6378137.0
+GOODE_LATITUDE = 40 + 44 / 60 + 11.8 / 3600
+GOODE_OFFSET = 0.0528035274542
+GOODE_NORTH = ((-180, -40, -100), (-40, 180, 30))
+GOODE_SOUTH = ((-180, -100, -160), (-100, -20, -60), (-20, 80, 20), (80, 180, 140))
+
+
+def homolosine_lobe(west: float, east: float, south: bool) -> float:
+    """Central meridian of the lobe that holds all longitudes from ``west`` to ``east``."""
+    for first, last, centre in GOODE_SOUTH if south else GOODE_NORTH:
+        if first <= west and east <= last:
+            return centre
+    raise ValueError("the longitudes reach over more than one lobe")
+
+
+def homolosine(phi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Metres of a radian of longitude, and northing, at latitudes in radians: sinusoidal inside, Mollweide outside."""
+    outer = np.abs(phi) > math.radians(GOODE_LATITUDE)
+    theta = phi.copy()
+    for _ in range(40):  # Newton on 2 t + sin 2 t = pi sin phi
+        slope = 2 + 2 * np.cos(2 * theta)
+        theta = theta - np.where(slope > 1e-9, (2 * theta + np.sin(2 * theta) - math.pi * np.sin(phi)) / np.where(slope > 1e-9, slope, 1), 0)
+    scale = np.where(outer, 2 * math.sqrt(2) / math.pi * np.cos(theta), np.cos(phi))
+    north = np.where(outer, math.sqrt(2) * np.sin(theta) - np.sign(phi) * GOODE_OFFSET, phi)
+    return GOODE_RADIUS * scale, GOODE_RADIUS * north
