@@ -444,3 +444,25 @@ def visible(spark, sf):
     b = shaped(spark, sf, "buildings").withColumn("area_m2", half_even(G.area(F.col("geom")), 1)).withColumnRenamed("bid", "id").withColumn("fuente", F.lit("x"))
     b = b.withColumn("geom", G.map_points(F.col("geom"), lambda x, y: x / 1e5, lambda x, y: y / 1e5)).withColumn("bbox", G.bbox(F.col("geom")))
     return B.window_view(b, (0.01, 0.001, 0.05, 0.012)).select("id", "altura_est", "area_m2")
+
+
+@query("E16_sampled_vote", "lots comunas", """WITH x AS (SELECT floor(rid / 40) AS archivo, *, row_number() OVER (PARTITION BY floor(rid / 40) ORDER BY rid) - 1 AS i, count(*) OVER (PARTITION BY floor(rid / 40)) AS n FROM lots),
+    s AS (SELECT * FROM x WHERE i % CAST(ceil(n / 9) AS BIGINT) = 0), v AS (SELECT s.archivo, c.cut FROM s LEFT JOIN comunas c ON (s.x0 + s.x1) / 2 > c.x0 AND (s.x0 + s.x1) / 2 < c.x1 AND (s.y0 + s.y1) / 2 > c.y0 AND (s.y0 + s.y1) / 2 < c.y1),
+    n AS (SELECT archivo, cut, count(*) AS n FROM v WHERE cut IS NOT NULL GROUP BY 1, 2), b AS (SELECT archivo, arg_min(cut, (-n, cut)) AS cut, max(n) AS n FROM n GROUP BY 1), t AS (SELECT archivo, count(*) AS t FROM v GROUP BY 1)
+    SELECT CAST(t.archivo AS BIGINT) AS archivo, b.cut, round_even(coalesce(n, 0) / t, 3) AS participacion, b.cut IS NOT NULL AND round_even(coalesce(n, 0) / t, 3) >= 0.9 AS ok FROM t LEFT JOIN b ON t.archivo = b.archivo""")
+def sampled_vote(spark, sf):
+    """Backups of forty lots, which straddle comunas; nine points or fewer decide."""
+    raw = shaped(spark, sf, "lots").select(F.floor(F.col("rid") / 40).alias("archivo"), "rid", "geom")
+    return P.assign_cut(raw, shaped(spark, sf, "comunas"), "rid", TILE, sample=9)
+
+
+@query("A12_local_parcels", "lots roles feat_base feat", """WITH z AS (SELECT * FROM feat WHERE zona = 'ZH1'), x AS (SELECT r.* FROM roles r SEMI JOIN z ON (r.x0 + r.x1) / 2 > z.x0 AND (r.x0 + r.x1) / 2 < z.x1 AND (r.y0 + r.y1) / 2 > z.y0 AND (r.y0 + r.y1) / 2 < z.y1
+      WHERE datos_sii AND rol IS NOT NULL AND exacto)
+    SELECT id_poligono, CASE WHEN count(DISTINCT rol) = 1 THEN min(rol) ELSE concat(min(rol), ' (+', CAST(count(DISTINCT rol) - 1 AS VARCHAR), ' unidades)') END AS rol, round(sum(sup_construida_m2), 4) AS sup_construida_total,
+    count(DISTINCT rol) AS n_unidades, CASE WHEN count(DISTINCT rol) = 1 THEN arg_min(sup_terreno_m2, (rol, row_id)) ELSE arg_min(area_poligono_m2, (rol, row_id)) END AS m2_terreno FROM x GROUP BY 1""")
+def local_parcels(spark, sf):
+    """Terrains of one zone from the stored parcels."""
+    lots = relation(spark, sf, "roles").withColumn("geom", G.box(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))).drop("x", "y", "x0", "y0", "x1", "y1")
+    zones = shaped(spark, sf, "feat").select(F.col("gid").alias("pid"), "zona", "geom")
+    t = V.local_parcels(lots, TILE, zones, "ZH1")
+    return t.select("id_poligono", "rol", F.round("sup_construida_total", 4).alias("sup_construida_total"), "n_unidades", "m2_terreno")

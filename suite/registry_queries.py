@@ -1,6 +1,8 @@
 """Layer typing, resolution, registry, demand, contracts and review."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from zonaria.functions import geometry as G
@@ -11,8 +13,11 @@ from zonaria.operators import features as FE
 from zonaria.operators import registry as R
 from zonaria.operators import review as RV
 from zonaria.operators.tiling import spread
+from zonaria.plans import catalogue as CA
 from zonaria.rules import LandRules
+from zonaria.session import shared_folder
 from zonaria.sources import layers as L
+from zonaria.sources import sinks
 
 from .base import query, relation, shaped, table
 from .text_queries import DECREE_CASE, URL_CASE, instruments, norm, tokens_sql
@@ -414,3 +419,41 @@ def legal(spark, sf):
 
     text = {"_aviso": "Referencial", "clases": {"PRC": {"titulo": "Urbano", "resumen": "r", "normas": ["LGUC", "OGUC"]}, "LU": {"titulo": "Límite", "resumen": "s", "normas": ["LGUC"]}}}
     return annotate(relation(spark, sf, "feat").withColumn("clase", F.col("ipt_tipo")), text).select("gid", "norma_titulo", "norma_refs", "aviso")
+
+
+def stored_at(spark, name):
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("A5_catalogue_reread", sql=f"""WITH {TYPED} SELECT * FROM (SELECT service, layer_name, arg_min(layer_id, (service_type <> 'MapServer', layer_id)) AS layer_id, arg_min(tipo, (service_type <> 'MapServer', layer_id)) AS tipo,
+    arg_min(coalesce(pri_default, '-'), (service_type <> 'MapServer', layer_id)) AS pri_default, false AS otra_vez FROM ty GROUP BY 1, 2) WHERE tipo <> 'IGNORAR'""")
+def reread(spark, sf):
+    """The catalogue written once, found unchanged by a second run, and read with the rules applied again."""
+    found = catalogue(spark, sf).select("service", "layer_name", "service_type", "layer_id")
+    path = stored_at(spark, "catalogue")
+    CA.persist_catalogue(found, path, RULES)
+    again = CA.persist_catalogue(found, path, RULES)
+    return CA.read_catalogue(spark, path, RULES).select("service", "layer_name", "layer_id", "tipo", F.coalesce("pri_default", F.lit("-")).alias("pri_default"), F.lit(again).alias("otra_vez"))
+
+
+@query("A7_registry_reread", "instruments", """SELECT id, tipo, denominacion, clasificacion, numero, fecha, 2 AS comunas, lpad(CAST(m AS VARCHAR), 5, '0') AS primera, doc_nombre, doc_url FROM instruments""")
+def registry_reread(spark, sf):
+    """The registry as its service delivers it (JSON documents), read back."""
+    cut = F.lpad(F.col("m").cast("string"), 5, "0")
+    docs = relation(spark, sf, "instruments").select(
+        "id", "tipo", "denominacion", F.array(cut, F.lit("99999")).alias("comunas"), "clasificacion", F.col("numero").alias("numeroDocumento"), F.col("fecha").alias("fechaInicioVigencia"),
+        F.array(F.struct(F.col("doc_tipo").alias("tipo"), F.col("doc_nombre").alias("nombre"), F.col("doc_url").alias("url"))).alias("documentos"))
+    path = stored_at(spark, "registry")
+    docs.write.json(path)
+    return L.read_instruments(spark, path).select(
+        "id", "tipo", "denominacion", "clasificacion", F.col("numeroDocumento").alias("numero"), F.col("fechaInicioVigencia").alias("fecha"), F.size("comunas").alias("comunas"),
+        F.get("comunas", F.lit(0)).alias("primera"), F.get("documentos", F.lit(0))["nombre"].alias("doc_nombre"), F.get("documentos", F.lit(0))["url"].alias("doc_url"))
+
+
+@query("A24_match_reread", "instruments", "SELECT CAST(id AS VARCHAR) AS id, tipo, numero, fecha, CASE WHEN id % 5 = 0 THEN NULL ELSE denominacion END AS ipt_nombre FROM instruments")
+def match_reread(spark, sf):
+    """A match table with blanks, written as CSV and read back with blanks as null."""
+    rows = relation(spark, sf, "instruments").select(F.col("id").cast("string").alias("id"), "tipo", "numero", "fecha", F.when(F.col("id") % 5 == 0, "  ").otherwise(F.col("denominacion")).alias("ipt_nombre"))
+    path = stored_at(spark, "matches")
+    sinks.write_csv(rows, path)
+    return L.read_matches(spark, path)

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from zonaria.functions import geometry as G
 from zonaria.operators import blocks as B
+from zonaria.operators.offset import territory_mask
+from zonaria.operators.validity import crossing_shapes
 from zonaria.plans import themes
 
-from .base import query, relation, shaped, table
+from .base import query, relation, table
 
 # The raster of the pixel relation as a lat/lon raster of 0.001 degrees, and as a homolosine raster of 20 m.
 PLACE = {"west": -71.0, "north": -30.0, "res": 0.001, "width": 64}
@@ -156,3 +158,29 @@ def division(spark, sf):
     cut = F.concat(F.lpad((F.col("k") % 16 + 1).cast("string"), 2, "0"), F.lit("101"))
     tiles = themes.division(c.select(cut.alias("cut"), F.col("comuna").alias("nombre"), "region", box.alias("bbox")), (9, 11))
     return tiles.groupBy("z", "x", "y").agg(F.count("*").alias("comunas"), F.countDistinct("color").alias("colores"))
+
+
+# L shapes: two touching boxes for every comuna. The first column of comunas is cut at x = 0, a hundred metres in.
+MARGIN, FAN = 50.0, 16 * 0.5 * 50.0 * 50.0 * math.sin(math.pi / 32)
+
+
+@query("E20_territory_mask", "comunas", f"""SELECT cut, round(1250000 - 100000 * c + {MARGIN} * (5000 - 200 * c) + 5 * {FAN!r} - {MARGIN * MARGIN}, 1) AS area, 1 AS partes,
+    greatest(x0 - 100 * c, 0) - {MARGIN} AS xmin, y0 - {MARGIN} AS ymin, x0 + 1500 - 100 * c + {MARGIN} AS xmax, y0 + 1000 + {MARGIN} AS ymax FROM (SELECT *, CASE WHEN x0 = 0 THEN 1 ELSE 0 END AS c FROM comunas)""")
+def territory(spark, sf):
+    c = relation(spark, sf, "comunas").withColumn("x0", F.col("x0") - F.when(F.col("x0") == 0, 100).otherwise(0))
+    tall = c.select("cut", F.lit(1).alias("parte"), G.box(F.col("x0"), F.col("y0"), F.col("x0") + 1000, F.col("y0") + 1000).alias("geom"))
+    low = c.select("cut", F.lit(2).alias("parte"), G.box(F.col("x0") + 1000, F.col("y0"), F.col("x0") + 1500, F.col("y0") + 500).alias("geom"))
+    mask = territory_mask(tall.unionByName(low), "cut", "parte", (0.0, -1e6, 1e9, 1e9), 1.0, MARGIN, 2_000.0).withColumn("b", G.bbox(F.col("geom")))
+    return mask.select("cut", F.round(G.area(F.col("geom")), 1).alias("area"), G.part_count(F.col("geom")).alias("partes"), *[F.round(f"b.{k}", 3).alias(k) for k in ("xmin", "ymin", "xmax", "ymax")])
+
+
+@query("I27_crossing_far_apart", "feat_base feat", "SELECT gid FROM feat WHERE gid % 5 = 0")
+def crossing(spark, sf):
+    """Rings of 160 vertices along the outline of a feature; those of every fifth jump across the whole shape twice."""
+    n, side = 160, F.col("x1") - F.col("x0")
+    t = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: G.let(i * 2 * math.pi / n, lambda a: G.point(
+        F.col("x0") + side * (0.5 + 0.5 * F.cos(a)), F.col("y0") + side * (0.5 + 0.5 * F.sin(a)))))
+    f = relation(spark, sf, "feat").withColumn("r", t)
+    jump = F.concat(F.slice("r", 1, 40), F.slice("r", 121, 1), F.slice("r", 42, 79), F.slice("r", 41, 1), F.slice("r", 122, 39))
+    ring = F.when(F.col("gid") % 5 == 0, jump).otherwise(F.col("r"))
+    return crossing_shapes(f.select("gid", F.array(F.array(F.concat(ring, F.slice("r", 1, 1)))).alias("geom")), "gid")

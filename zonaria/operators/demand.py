@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tiling import small_side
+
 ACTIVE = ("activa", "mantenida")
 LOG_COLUMNS = ("fecha", "region", "cut", "comuna", "clase", "cobertura", "fuentes_relevantes_no_activas")
 # What a source of each state still lacks.
@@ -18,13 +20,20 @@ def relevant_sources(cards: DataFrame, contracts: DataFrame) -> DataFrame:
     """(qid, id): inactive sources whose classes occur in the card and whose regions include it (no regions = all).
     cards(qid, cut, clases array), contracts(id, estado, clases array, regiones array).
 
-    Joined on the class, and on the region where the contract names regions, so no pairing of all with all."""
-    lines = cards.select("qid", F.substring("cut", 1, 2).alias("reg"), F.explode("clases").alias("clase"))
+    Cards collapse to their signature (region and set of classes), of which there are few however many cards; signatures
+    meet the contracts on class, and on the region where a contract names regions, and every card takes the sources of its
+    signature. No card row joins on a class. Null and empty class lists have no sources."""
+    signature = ["reg", "firma"]
+    signed = cards.select("qid", F.coalesce(F.substring("cut", 1, 2), F.lit("")).alias("reg"), F.array_sort(F.array_distinct("clases")).alias("firma"))
+    lines = signed.select(*signature).distinct().select(*signature, F.explode("firma").alias("clase"))
     rules = contracts.where(~F.col("estado").isin(*ACTIVE)).select("id", F.explode("clases").alias("clase"), "regiones")
     anywhere = rules.where(F.coalesce(F.size("regiones"), F.lit(0)) <= 0).select("id", "clase")
     regional = rules.where(F.size("regiones") > 0).select("id", "clase", F.explode("regiones").alias("reg"))
-    hits = lines.join(anywhere, "clase").select("qid", "id").unionByName(lines.join(regional, ["clase", "reg"]).select("qid", "id"))
-    return hits.distinct()
+    hits = lines.join(anywhere, "clase").select(*signature, "id").unionByName(lines.join(regional, ["clase", "reg"]).select(*signature, "id"))
+    sources = small_side(hits.groupBy(*signature).agg(F.collect_set("id").alias("ids")))
+    if sources is None:
+        return signed.select("qid").join(contracts.select("id").limit(0), F.lit(False))
+    return signed.join(sources, signature).select("qid", F.explode("ids").alias("id")).distinct()
 
 
 def log_lines(cards: DataFrame, relevant: DataFrame) -> DataFrame:

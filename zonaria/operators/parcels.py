@@ -2,14 +2,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_even
 from ..functions import geometry as G
 from ..functions import scales as S
 from ..functions import text as X
-from .spatial_join import near_candidates, points_in_polygons
+from ..session import truncate_lineage
+from .sampling import every_kth
+from .spatial_join import first_polygon, near_candidates, points_in_polygons
 
 # Fixed values of the product.
 FILLED, BY_POINT, NEAR = "relleno_respaldo1", "punto_en_poligono", "cercano_50m"
@@ -106,10 +107,19 @@ def vote(samples: DataFrame, group: str, choice: str, minimum: float = 0.9) -> D
 
 
 def sample_points(raw: DataFrame, size: int, order: str) -> DataFrame:
-    """Interior points of a reproducible sample of each backup: raw(archivo, row_id, geom)."""
-    ranked = raw.withColumn("_h", F.xxhash64(order)).withColumn("_r", F.row_number().over(W.partitionBy("archivo").orderBy("_h", order)))
-    return (ranked.where(F.col("_r") <= size).select("archivo", F.col(order).alias("pid"), G.interior_point(F.col("geom")).alias("p"))
-            .select("archivo", "pid", "p.x", "p.y"))
+    """Interior points of a reproducible sample of each backup: raw(archivo, row_id, geom), at most ``size`` for each, evenly
+    spread over its rows by ``order``."""
+    taken = every_kth(raw.select("archivo", F.col(order).alias("pid"), "geom"), "archivo", "pid", size)
+    return taken.select("archivo", "pid", G.interior_point(F.col("geom")).alias("p")).select("archivo", "pid", "p.x", "p.y")
+
+
+def assign_cut(raw: DataFrame, comunas: DataFrame, order: str, tile: float, sample: int = 3_000, minimum: float = 0.9) -> DataFrame:
+    """The comuna of every backup by the vote of its sampled points: (archivo, cut, participacion, ok). A backup whose points
+    all lie outside has a null ``cut`` and share 0. raw(archivo, ``order``, geom), comunas(cut, geom)."""
+    points = truncate_lineage(sample_points(raw, sample, order))
+    asked = points.select(F.concat_ws("|", "archivo", F.col("pid").cast("string")).alias("pid"), "archivo", "x", "y")
+    hits = first_polygon(asked, comunas.select(F.col("cut").alias("gid"), "geom"), tile)
+    return vote(asked.select("pid", "archivo").join(hits.select("pid", F.col("gid").alias("cut")), "pid", "left"), "archivo", "cut", minimum)
 
 
 def complete_with_archive(new: DataFrame, old: DataFrame, known: DataFrame) -> DataFrame:

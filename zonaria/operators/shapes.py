@@ -1,63 +1,31 @@
 """Feature-by-feature shape jobs (Arrow batches) and dissolved outlines."""
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numeric import half_even
 from ..functions import geometry as G
+from ..functions.buffers import flat, nested, thinned
+from ..session import truncate_lineage
 from .overlay import overlay
+from .validity import crossing_shapes
+
 
+def simplify(df: DataFrame, tolerance: float | Column, geom: str = "geom") -> DataFrame:
+    """Rings thinned to a tolerance (a number, or a column for one of each row). A ring that would collapse keeps its three
+    most telling points; null shapes stay null. All rings of an Arrow batch are thinned together."""
+    @F.arrow_udf(G.GEOMETRY)
+    def run(shapes: pa.Array, limit: pa.Array) -> pa.Array:
+        return nested(thinned(flat(shapes), pa.compute.fill_null(limit, 0.0).to_numpy(zero_copy_only=False)))
 
-def _simplify_line(points: np.ndarray, tolerance: float) -> np.ndarray:
-    """Indexes kept by the farthest-point rule; the ends always stay."""
-    keep = np.zeros(len(points), dtype=bool)
-    keep[[0, -1]] = True
-    stack = [(0, len(points) - 1)]
-    while stack:
-        a, b = stack.pop()
-        if b - a < 2:
-            continue
-        base, chord = points[a], points[b] - points[a]
-        rel = points[a + 1:b] - base
-        length2 = float(chord @ chord)
-        if length2:
-            t = np.clip(rel @ chord / length2, 0, 1)
-            far = np.hypot(*(rel - t[:, None] * chord).T)
-        else:
-            far = np.hypot(*rel.T)
-        k = int(far.argmax())
-        if far[k] > tolerance:
-            keep[a + 1 + k] = True
-            stack += [(a, a + 1 + k), (a + 1 + k, b)]
-    return np.flatnonzero(keep)
-
-
-def simplify(df: DataFrame, tolerance: float, geom: str = "geom") -> DataFrame:
-    """Rings thinned to a tolerance. A ring that would collapse keeps its three most telling points."""
-    @F.pandas_udf(G.GEOMETRY)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def ring(points):
-            xy = np.array([(p["x"], p["y"]) for p in points])
-            half = int(np.hypot(*(xy - xy[0]).T).argmax())
-            if half == 0:
-                return points
-            kept = np.r_[_simplify_line(xy[:half + 1], tolerance), half + _simplify_line(xy[half:], tolerance)[1:]]
-            if len(kept) < 4:
-                chord = xy[half] - xy[0]
-                off = np.abs(chord[0] * (xy[:, 1] - xy[0, 1]) - chord[1] * (xy[:, 0] - xy[0, 0]))
-                kept = np.unique(np.r_[kept, int(off.argmax())])
-            return [points[i] for i in kept]
-
-        for geoms in batches:
-            yield geoms.map(lambda g: None if g is None else [[ring(r) for r in poly] for poly in g])
-
-    return df.withColumn(geom, run(F.col(geom)))
+    limit = tolerance if isinstance(tolerance, Column) else F.lit(float(tolerance))
+    return df.withColumn(geom, run(F.col(geom), limit.cast("double")))
 
 
 def boundary(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -136,11 +104,13 @@ def dissolve(cells: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def repair(df: DataFrame, key: str, size: float) -> DataFrame:
-    """``df`` with self-crossing shapes replaced by the ground they cover (even-odd); shapes left empty go."""
-    flagged = df.where(G.crosses_itself(F.col("geom")))
+    """``df`` with self-crossing shapes replaced by the ground they cover (even-odd); shapes left empty go. Shapes with a null
+    key are left as they are. The crossing ones are found once and kept."""
+    crossed = truncate_lineage(crossing_shapes(df, key))
+    flagged = df.join(crossed, key, "left_semi")
     cell = overlay(flagged.select(F.struct(F.col(key).alias("k")).alias("item"), "geom"), size, shapes=True)
     ground = dissolve(cell.withColumn(key, F.explode(F.transform("active", lambda a: a["k"]))), [key])
-    rest = df.where(~G.is_empty(F.col("geom")) & ~G.crosses_itself(F.col("geom")))
+    rest = df.join(crossed, key, "left_anti").select(*df.columns)
     return rest.unionByName(flagged.drop("geom").join(ground, key).select(*df.columns)).where(~G.is_empty(F.col("geom")))
 
 

@@ -274,6 +274,20 @@ def terrains(parcels: DataFrame, only_exact: bool = True, limit: int | None = No
     return out if limit is None else reproducible_sample(out, "id_poligono", limit, seed)
 
 
+def local_parcels(parcels: DataFrame, size: float, zones: DataFrame | None = None, zone: str | None = None, only_exact: bool = True,
+                  limit: int | None = None, seed: int = 1) -> DataFrame:
+    """One row per terrain of a stored backup (see :func:`terrains`). With ``zone`` only roles whose interior point lies in a
+    piece of that zone: ``zones(pid, zona, geom)``; a zone that none of the pieces has is an error. At most ``limit`` terrains."""
+    if zone is not None and zones is not None:
+        chosen = zones.where(F.col("zona") == zone)
+        if chosen.isEmpty():
+            raise ValueError(f"La zona «{zone}» no existe en las piezas dadas")
+        points = parcels.select(F.col("row_id").alias("pid"), G.interior_point(F.col("geom")).alias("p")).select("pid", "p.x", "p.y")
+        inside = points_in_polygons(points, chosen.select(F.col("pid").alias("gid"), "geom"), size).select(F.col("pid").alias("row_id")).distinct()
+        parcels = parcels.join(inside, "row_id", "left_semi")
+    return terrains(parcels, only_exact, limit, seed)
+
+
 def reproducible_sample(df: DataFrame, key: str, limit: int, seed: int) -> DataFrame:
     """At most ``limit`` rows, always the same for a seed and on any engine (top-k by digest, no full sort)."""
     return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(limit)
