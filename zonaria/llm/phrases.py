@@ -15,14 +15,18 @@ from .common import free_name, stored, text_batches
 #: Occurrences that make a phrase frequent, words of the longest phrase, phrases reported for each group.
 LEAST, LONGEST, TOP = 30, 4, 2_000
 #: One text of so many (by a hash of its id) is in the sample; there a phrase is proposed from so many occurrences on.
-SAMPLE_OF, PROPOSED = 8, 2
+SAMPLE_OF, PROPOSED = 8, 3
 #: A longer phrase with this share (percent) of a phrase's occurrences stands for it.
 ABSORBED = 80
 #: Bits of the map of known phrases: 8 MB, whatever the corpus. Where bits collide, phrases are counted in vain, none is lost.
 BITS = 1 << 26
-#: Salts of the counts of single words, which belong to many phrases.
+#: Salts of the counts of single words, which belong to many phrases, and of large groups.
 SALTS = 16
-BATCH = 8 << 20
+BATCH = 6 << 20
+#: Phrases that leave a batch together.
+SENT = 1 << 16
+#: Occurrences in a batch from which a phrase is added up for the task, and how many of those a task holds.
+OFTEN, HELD = 4, 100_000
 UNKNOWN = "und"
 #: Ends a piece; no byte of UTF-8.
 STOP = b"\xff"
@@ -98,6 +102,7 @@ def phrases_in(group: bytes, texts: list[str], longest: int, known: Known | None
     words = words_of(texts)
     number: dict[bytes, int] = {STOP: 0}
     at = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64)
+    del words
     single = list(number)
     word_codes = np.array([word_code(group, w) for w in single], dtype=np.uint64)
     ids, codes, times, made = at, word_codes, np.bincount(at, minlength=len(single)), []
@@ -118,6 +123,8 @@ def phrases_in(group: bytes, texts: list[str], longest: int, known: Known | None
             open_now = live[:end] & live[1:end + 1]
             open_before = live_before[:end] & live_before[1:end + 1]
             place = np.flatnonzero(open_now)
+            if not len(place):
+                return
             keys, held, times = np.unique(ids[place] << 32 | at[place + size - 1], return_inverse=True, return_counts=True)
             made.append(keys)
             codes = longer_code(codes[keys >> 32], word_codes[keys & 0xFFFFFFFF])
@@ -128,7 +135,8 @@ def phrases_in(group: bytes, texts: list[str], longest: int, known: Known | None
             new = np.zeros(len(codes), dtype=bool)
             new[ids[fresh]] = True
             new = np.flatnonzero(new)
-            yield size, names(size, new), times[new]
+            for at_once in np.split(new, range(SENT, len(new), SENT)):
+                yield size, names(size, at_once), times[at_once]
         if size == longest or known is None or size == only:
             return
         live = open_now & known.has(codes)[ids]
@@ -141,26 +149,46 @@ def phrases_in(group: bytes, texts: list[str], longest: int, known: Known | None
 
 def counted(texts: DataFrame, longest: int, known: Known | None = None, before: Known | None = None, only: int | None = None) -> DataFrame:
     """Exact counts of phrases of ``texts(grupo, texto)``, see :func:`phrases_in`. Batches are counted first, so that a
-    phrase leaves a batch once however often it stands there. The empty phrase counts all words of a group."""
+    phrase leaves a batch once however often it stands there; common ones are added up for the whole task, so that no
+    phrase is in more than a few rows for each. The empty phrase counts all words of a group."""
     spark = texts.sparkSession
     now = spark.sparkContext.broadcast(known) if known else None
     then = spark.sparkContext.broadcast(before) if before else None
 
+    def rows_of(group: str, size: int, phrases: list[bytes], times: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([group] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
+             pa.array(np.full(len(phrases), size, dtype=np.int32)), pa.array(times.astype(np.int64))], names=["grupo", "frase", "palabras", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often: dict[tuple[str, int], dict[bytes, int]] = {}
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            for (group, size), held in often.items():
+                yield rows_of(group, size, list(held), np.array(list(held.values())))
+            often.clear()
+
         for batch in text_batches(batches, "texto", BATCH):
             rows: dict[str, list[str]] = {}
             for group, text in zip(batch.column("grupo").to_pylist(), batch.column("texto").to_pylist()):
                 rows.setdefault(group, []).append(text)
+            del batch
             for group, own in rows.items():
                 for size, phrases, times in phrases_in(group.encode(), own, longest, now and now.value, then and then.value, only):
+                    held = often.setdefault((group, size), {})
                     if size == 1 and not then:
-                        phrases, times = [b"", *phrases], np.concatenate(([times.sum()], times))
-                    if len(phrases):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([group] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                             pa.array(np.full(len(phrases), size, dtype=np.int32)), pa.array(times.astype(np.int64))], names=["grupo", "frase", "palabras", "n"])
+                        held[b""] = held.get(b"", 0) + int(times.sum())
+                    for i in np.flatnonzero(times >= OFTEN).tolist():
+                        held[phrases[i]] = held.get(phrases[i], 0) + int(times[i])
+                    rare = np.flatnonzero(times < OFTEN)
+                    if len(rare):
+                        yield rows_of(group, size, [phrases[i] for i in rare.tolist()], times[rare])
+            if sum(map(len, often.values())) > HELD:
+                yield from flushed()
+        yield from flushed()
 
-    return texts.mapInArrow(run, COUNTED).groupBy("grupo", "frase", "palabras").agg(F.sum("n").alias("n"))
+    # Counted already, so the rows are dealt out first; a further count before the shuffle would find little to add up.
+    return texts.mapInArrow(run, COUNTED).repartition("grupo", "frase").groupBy("grupo", "frase", "palabras").agg(F.sum("n").alias("n"))
 
 
 def proposals(sample: DataFrame, longest: int, proposed: int) -> tuple[DataFrame, Known]:
@@ -250,7 +278,10 @@ def collocations(features: DataFrame, id_col: str = "gid", text_col: str = "zona
                            F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(SAMPLE_OF)).alias(key))
     counts = frequent_phrases(rows, F.col(key) == 0, least, longest)
     best = without_absorbed(scored(counts))
-    order = W.partitionBy("grupo").orderBy(F.desc("puntaje"), F.desc("a"), "frase")
+    order = [F.desc("puntaje"), F.desc("a"), "frase"]
+    # The best of each salt first: a large group is sorted by many tasks, and few rows of it meet in the end.
+    best = best.withColumn("salt", F.pmod(F.xxhash64("frase"), F.lit(SALTS)))
+    best = best.withColumn("puesto", F.row_number().over(W.partitionBy("grupo", "salt").orderBy(*order))).where(F.col("puesto") <= top)
     totals = counts.where("frase = ''").select("grupo", "n")
-    return (best.withColumn("puesto", F.row_number().over(order)).where(F.col("puesto") <= top).join(totals, "grupo")
+    return (best.withColumn("puesto", F.row_number().over(W.partitionBy("grupo").orderBy(*order))).where(F.col("puesto") <= top).join(totals, "grupo")
             .select(F.col("grupo").alias(group_col), F.col("puesto").cast("long").alias("puesto"), "frase", "a", "l", "r", "n", "puntaje"))
