@@ -30,7 +30,21 @@ def _folds() -> tuple[str, str, dict[str, str]]:
 
 _FOLD_FROM, _FOLD_TO, _SEVERAL = _folds()
 _SEVERAL_PAIRS = "\x02".join(f"{c}\x01{form}" for c, form in _SEVERAL.items())
-_SEVERAL_CLASS = "[" + "".join(_SEVERAL) + "]"
+
+
+def _ranges(codes: list[int]) -> str:
+    """A character class of few ranges: a class of single characters is tried one by one."""
+    out, first = [], codes[0]
+    for code, following in zip(codes, [*codes[1:], None]):
+        if following != code + 1:
+            out.append(f"\\x{{{first:x}}}-\\x{{{code:x}}}")
+            first = following
+    return "[" + "".join(out) + "]"
+
+
+_SEVERAL_CLASS = _ranges(sorted(map(ord, _SEVERAL)))
+#: The same in two ranges, with room: letters with accents of western languages are not in it.
+_SEVERAL_MAYBE = f"[\\xA0-\\x{{{max(c for c in map(ord, _SEVERAL) if c < 0x100):x}}}\\x{{100}}-\\x{{10FFFF}}]"
 
 
 def fold(text: Column) -> Column:
@@ -41,7 +55,7 @@ def fold(text: Column) -> Column:
     letters = F.str_to_map(F.lit(_SEVERAL_PAIRS), F.lit("\x02"), F.lit("\x01"))    # one literal, folded once
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(_SEVERAL_CLASS), F.lit(0)))
     spelt = F.aggregate(found, text, lambda t, c: F.replace(t, c, F.try_element_at(letters, c)))
-    expanded = F.when(text.rlike(_SEVERAL_CLASS), spelt).otherwise(text)
+    expanded = F.when(text.rlike(_SEVERAL_MAYBE) & text.rlike(_SEVERAL_CLASS), spelt).otherwise(text)
     ascii_only = F.regexp_replace(F.translate(expanded, _FOLD_FROM, _FOLD_TO), r"[^\x00-\x7F]", "")
     return F.when(text.rlike(r"[^\x00-\x7F]"), ascii_only).otherwise(text)
 

@@ -99,7 +99,10 @@ def layer_fields(raw: DataFrame, rules: LandRules = LandRules()) -> DataFrame:
 
 
 def sub_class(zone: Column, description: Column, rules: LandRules = LandRules()) -> Column:
-    text = F.concat_ws(" ", X.norm_text(zone), X.norm_text(description))
+    return _sub_class(F.concat_ws(" ", X.norm_text(zone), X.norm_text(description)), rules)
+
+
+def _sub_class(text: Column, rules: LandRules) -> Column:
     expr = None
     for name, pattern in rules.subclasses:
         expr = F.when(text.rlike(pattern), name) if expr is None else expr.when(text.rlike(pattern), name)
@@ -116,8 +119,11 @@ def is_local(kind: Column, service: Column, layer: Column, rules: LandRules = La
 
 
 def is_risk(layer: Column, zone: Column, description: Column, rules: LandRules = LandRules()) -> Column:
-    text = F.concat_ws(" ", X.norm_text(zone), X.norm_text(description))
-    return (X.norm_text(layer).rlike(rules.risk) | text.rlike(rules.risk)) & ~X.norm_text(zone).rlike(rules.risk_excluded)
+    return _is_risk(X.norm_text(layer), X.norm_text(zone), X.norm_text(description), rules)
+
+
+def _is_risk(layer: Column, zone: Column, description: Column, rules: LandRules) -> Column:
+    return (layer.rlike(rules.risk) | F.concat_ws(" ", zone, description).rlike(rules.risk)) & ~zone.rlike(rules.risk_excluded)
 
 
 def zone_key(name: Column, zone: Column) -> Column:
@@ -126,11 +132,13 @@ def zone_key(name: Column, zone: Column) -> Column:
 
 def source_fields(df: DataFrame, rules: LandRules = LandRules()) -> DataFrame:
     """Adds fuente, revisar, rango and riesgo to features(tipo, pri_default, servicio, capa, ipt_nombre, zona, zona_desc)."""
-    sub = sub_class(F.col("zona"), F.col("zona_desc"), rules)
+    # Every key is made once, as a column, and used by all rules.
+    df = df.withColumns({"_capa": X.norm_text(F.col("capa")), "_zona": X.norm_text(F.col("zona")), "_desc": X.norm_text(F.col("zona_desc"))})
+    sub = _sub_class(F.concat_ws(" ", "_zona", "_desc"), rules)
     inter = F.col("tipo").isin(*INTERCOMUNAL)
     default = F.col("pri_default")
     envelope = is_envelope(F.col("servicio"), F.col("capa"), rules)
-    df = df.withColumns({"_sub": sub, "_env": inter & envelope, "riesgo": is_risk(F.col("capa"), F.col("zona"), F.col("zona_desc"), rules)})
+    df = df.withColumns({"_sub": sub, "_env": inter & envelope, "riesgo": _is_risk(F.col("_capa"), F.col("_zona"), F.col("_desc"), rules)})
     fuente = (F.when(F.col("_env"), "PRI_ENV").when(inter, F.concat(F.lit("PRI_"), F.coalesce("_sub", default, F.lit("R"))))
               .otherwise(F.col("tipo")))
     ranked_risk = F.col("riesgo") & (F.col("tipo") != "AFECTACION") & ~F.col("_env")
@@ -143,7 +151,7 @@ def source_fields(df: DataFrame, rules: LandRules = LandRules()) -> DataFrame:
         for key, value in rules.zone_overrides.items():
             name, zone = key.split("|", 1)
             pairs += [zone_key(F.lit(name), F.lit(zone)), F.lit(value)]
-        manual = F.try_element_at(F.create_map(*pairs), zone_key(F.col("ipt_nombre"), F.col("zona")))
+        manual = F.try_element_at(F.create_map(*pairs), F.concat_ws("|", X.norm_text(F.col("ipt_nombre")), "_zona"))
         df = df.withColumn("_manual", manual)
         applies = (F.col("_manual") == "AFECTACION") | (F.col("_manual").isNotNull() & inter)
         applies = F.coalesce(applies, F.lit(False))
@@ -153,7 +161,7 @@ def source_fields(df: DataFrame, rules: LandRules = LandRules()) -> DataFrame:
             "rango": F.when(applies & (F.col("_manual") != "AFECTACION"), 0).otherwise(F.col("rango")),
             "revisar": F.col("revisar") & ~applies,
         }).drop("_manual")
-    return df.drop("_sub", "_env")
+    return df.drop("_sub", "_env", "_capa", "_zona", "_desc")
 
 
 def split_affectations(features: DataFrame) -> tuple[DataFrame, DataFrame]:
