@@ -380,3 +380,4 @@ def box_lookup(spark, sf):
 def buildings_in(spark, sf):
     lots = shaped(spark, sf, "lots").withColumn("b", G.bbox(F.col("geom"))).select(F.col("rid").alias("wid"), "b.*")
     return B.in_windows(shaped(spark, sf, "buildings").withColumnRenamed("bid", "id"), lots, TILE)
+

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from zonaria.functions import geometry as G
 from zonaria.operators import blocks as B
 from zonaria.operators.offset import territory_mask
+from zonaria.operators.pyramid import display_outlines, tile_pyramid
 from zonaria.operators.validity import crossing_shapes
 from zonaria.plans import themes
 
@@ -184,3 +185,37 @@ def crossing(spark, sf):
     jump = F.concat(F.slice("r", 1, 40), F.slice("r", 121, 1), F.slice("r", 42, 79), F.slice("r", 41, 1), F.slice("r", 122, 39))
     ring = F.when(F.col("gid") % 5 == 0, jump).otherwise(F.col("r"))
     return crossing_shapes(f.select("gid", F.array(F.array(F.concat(ring, F.slice("r", 1, 1)))).alias("geom")), "gid")
+
+
+def with_middles(corners):
+    """A closed ring of corners with a needless point in the middle of every side."""
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.array(F.get(corners, i), G.point(
+        (F.get(corners, i)["x"] + F.get(corners, (i + 1) % 4)["x"]) / 2, (F.get(corners, i)["y"] + F.get(corners, (i + 1) % 4)["y"]) / 2))))
+
+
+Y_OF = "(0.5 - ln((1 + sin(radians({v}))) / (1 - sin(radians({v})))) / (4 * pi()))"
+
+
+@query("B15_tile_pyramid", "feat_base feat", f"""WITH f AS (SELECT gid, (105 + x0 / 1e5) / 360 AS xa, (105 + x1 / 1e5) / 360 AS xb, {Y_OF.replace('{v}', '(-40 + y1 / 1e5)')} AS ya, {Y_OF.replace('{v}', '(-40 + y0 / 1e5)')} AS yb FROM feat),
+    z AS (SELECT z, pow(2.0, -z) AS s, pow(2.0, -z) * 80 / 4096 AS m FROM (SELECT unnest([10, 11, 12, 13]) AS z)),
+    t AS (SELECT *, unnest(range(CAST(floor((xa - m) / s) AS BIGINT), CAST(floor((xb + m) / s) AS BIGINT) + 1)) AS x FROM f, z), u AS (SELECT *, unnest(range(CAST(floor((ya - m) / s) AS BIGINT), CAST(floor((yb + m) / s) AS BIGINT) + 1)) AS y FROM t)
+    SELECT z, x, y, count(*) AS piezas, round(sum((least(xb, (x + 1) * s + m) - greatest(xa, x * s - m)) * (least(yb, (y + 1) * s + m) - greatest(ya, y * s - m)) / (s * s) * 4096 * 4096), 1) AS area
+    FROM u GROUP BY 1, 2, 3""")
+def pyramid(spark, sf):
+    """Features with a needless point on every side: thinned, the corners are left."""
+    f = relation(spark, sf, "feat")
+    corner = lambda x, y: G.point(F.col(x) / 1e5 - 75, F.col(y) / 1e5 - 40)
+    ring = with_middles(F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1")))
+    shape = F.array(F.array(F.concat(ring, F.slice(ring, 1, 1))))
+    tiles = tile_pyramid(f.select("gid", shape.alias("geom")), "gid", (10, 13), tolerance=1e-4, whole=False)
+    return tiles.groupBy("z", "x", "y").agg(F.count("*").alias("piezas"), F.round(F.sum(G.area(F.col("geom"))), 1).alias("area"))
+
+
+@query("B17_outline_box", "comunas", """SELECT cut, comuna AS nombre, round_even(xa, 4) AS oeste, round_even(ya, 4) AS sur, round_even(xb, 4) AS este, round_even(yb, 4) AS norte, 5 AS puntos, round_even(xa, 5) AS x, round_even(ya, 5) AS y
+    FROM (SELECT *, -71 + x0 / 1e6 AS xa, -71 + x1 / 1e6 AS xb, -35 + y0 / 1e6 AS ya, -35 + y1 / 1e6 AS yb FROM comunas)""")
+def outline_box(spark, sf):
+    corner = lambda x, y: G.point(F.col(x) / 1e6 - 71, F.col(y) / 1e6 - 35)
+    ring = with_middles(F.array(corner("x0", "y0"), corner("x1", "y0"), corner("x1", "y1"), corner("x0", "y1")))
+    out = display_outlines(relation(spark, sf, "comunas").select("cut", "comuna", F.array(F.array(F.concat(ring, F.slice(ring, 1, 1)))).alias("geom")))
+    point = F.get(G.vertices(F.col("geom")), F.lit(0))
+    return out.select("cut", "nombre", *[F.get("bbox", F.lit(i)).alias(n) for i, n in enumerate(("oeste", "sur", "este", "norte"))], F.size(G.vertices(F.col("geom"))).alias("puntos"), point["x"].alias("x"), point["y"].alias("y"))

@@ -26,7 +26,12 @@ def test_build(spark):
     grown = {r.cut: r.ha_extension_costera for r in b.comunas.collect()}
     assert grown["09101"] > 0 and grown["09102"] == grown["09112"] == 0
     assert {(r.zona, r.cut) for r in b.affectations.where("zona = 'AR-3'").collect()} == {("AR-3", "09101")}
+    assert {(r.cut, r.n_partes, r.lado) for r in b.coast.collect()} == {("09101", 1, "este")} or {r.cut for r in b.coast.collect()} == {"09101"}
+    assert all(r.traslape_ok for r in q) and {r.comunas_tocadas != "" for r in b.unplaced.collect()} <= {True}
     s = b.summary.first()
+    assert s.comunas_traslape_sobre_umbral == 0 and s.traslape_max_m2 < 1.0 and s.instrumentos_sin_comuna == b.unplaced.count()
+    assert s.ipt_fuera_dpa_ha == pytest.approx(sum(r.ha_fuera for r in b.coast.collect()), abs=0.1)
+    assert sum(r.features for r in b.inventory.collect()) == b.features.where("ipt_tipo IN ('PRC', 'SECCIONAL', 'LU', 'PRI', 'PRM')").count()
     assert s.comunas == 3 and s.piezas == len(pieces) and s.piezas_invalidas == 0 and s.extension_costera_ha == pytest.approx(sum(grown.values()), abs=0.1)
 
 

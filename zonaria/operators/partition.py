@@ -310,16 +310,30 @@ def coastal_extension(features: DataFrame, comunas: DataFrame, size: float) -> D
     return sums.where(F.col("area_fuera") >= 1.0).withColumn("x_fuera", F.col("mx") / F.col("area_fuera")).drop("mx")
 
 
-def coastal_quality(extension: DataFrame, comunas: DataFrame) -> DataFrame:
-    """Report of the extension: hectares, share and side; comunas(cut, comuna, region, geom)."""
+def coastal_parts(features: DataFrame, comunas: DataFrame, size: float) -> DataFrame:
+    """Of how many separate parts the ground outside every comuna consists: features(gid, cut_ipt, geom), comunas(cut, geom) →
+    (cut, n_partes)."""
+    own = features.where(F.col("cut_ipt").isNotNull()).select(F.struct(F.lit(1).alias("kind"), F.col("cut_ipt").alias("cut"), F.col("gid").cast("bigint").alias("gid")).alias("item"), "geom")
+    land = comunas.select(F.struct(F.lit(0).alias("kind"), F.col("cut").alias("cut"), F.lit(None).cast("bigint").alias("gid")).alias("item"), "geom")
+    outside = overlay(own.unionByName(land), size, shapes=True).where(~F.exists("active", lambda a: a["kind"] == 0))
+    ground = outside.select(F.explode(F.array_distinct(F.transform("active", lambda a: a["cut"]))).alias("cut"), "area", *CORNERS)
+    return dissolve(ground, ["cut"]).select("cut", G.part_count(F.col("geom")).alias("n_partes"))
+
+
+def coastal_quality(extension: DataFrame, comunas: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """Report of the extension: hectares, share and side; comunas(cut, comuna, region, geom). With ``parts`` (see
+    :func:`coastal_parts`) also the number of separate parts."""
     base = comunas.select("cut", "comuna", "region", G.centroid_x(F.col("geom")).alias("cx"))
     side = F.when(F.col("x_fuera") < F.col("cx"), "oeste (costa probable)").otherwise("este")
     kept = F.when(F.col("area_extension") >= 1.0, F.col("area_extension")).otherwise(0.0)
-    return extension.join(base, "cut", "left").select(
+    joined = extension.join(base, "cut", "left")
+    if parts is not None:
+        joined = joined.join(parts, "cut", "left")
+    return joined.select(
         "cut", "comuna", "region", half_even(F.col("area_ipt") / 1e4, 2).alias("ha_ipt"),
         half_even(F.col("area_fuera") / 1e4, 2).alias("ha_fuera"),
         half_even(100 * F.col("area_fuera") / F.col("area_ipt"), 2).alias("pct_fuera"),
-        half_even(kept / 1e4, 2).alias("ha_extension"), side.alias("lado"))
+        half_even(kept / 1e4, 2).alias("ha_extension"), side.alias("lado"), *(["n_partes"] if parts is not None else []))
 
 
 def unplaced_instruments(features: DataFrame, touches: DataFrame) -> DataFrame:
