@@ -13,6 +13,7 @@ from zonaria.operators.offset import territory_mask
 from zonaria.operators.pyramid import display_outlines, tile_pyramid
 from zonaria.operators.validity import crossing_shapes
 from zonaria.plans import themes
+from zonaria.session import truncate_lineage
 
 from .base import query, relation, table
 
@@ -177,14 +178,15 @@ def territory(spark, sf):
 
 @query("I27_crossing_far_apart", "feat_base feat", "SELECT gid FROM feat WHERE gid % 5 = 0")
 def crossing(spark, sf):
-    """Rings of 160 vertices along the outline of a feature; those of every fifth jump across the whole shape twice."""
-    n, side = 160, F.col("x1") - F.col("x0")
+    """Rings of 80 vertices along the outline of a feature; those of every fifth jump across the whole shape twice."""
+    n, side = 80, F.col("x1") - F.col("x0")
     t = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: G.let(i * 2 * math.pi / n, lambda a: G.point(
         F.col("x0") + side * (0.5 + 0.5 * F.cos(a)), F.col("y0") + side * (0.5 + 0.5 * F.sin(a)))))
     f = relation(spark, sf, "feat").withColumn("r", t)
-    jump = F.concat(F.slice("r", 1, 40), F.slice("r", 121, 1), F.slice("r", 42, 79), F.slice("r", 41, 1), F.slice("r", 122, 39))
+    jump = F.concat(F.slice("r", 1, 20), F.slice("r", 61, 1), F.slice("r", 22, 39), F.slice("r", 21, 1), F.slice("r", 62, 19))
     ring = F.when(F.col("gid") % 5 == 0, jump).otherwise(F.col("r"))
-    return crossing_shapes(f.select("gid", F.array(F.array(F.concat(ring, F.slice("r", 1, 1)))).alias("geom")), "gid")
+    rings = truncate_lineage(f.select("gid", F.array(F.array(F.concat(ring, F.slice("r", 1, 1)))).alias("geom")))
+    return crossing_shapes(rings, "gid")
 
 
 def with_middles(corners):

@@ -53,6 +53,7 @@ def crossing_shapes(df: DataFrame, key: str, geom: str = "geom") -> DataFrame:
     Shapes of up to ``FEW`` edges are tested where they stand, all of a batch at once. The edges of larger ones go to the
     cells that they run through, of a grid over the box of their shape with about as many cells as edges, so that edges
     meet only their neighbours whatever the size of the shape. Null and empty shapes cross nothing; a null key is left out.
+    Give it stored shapes rather than derived ones: they are read twice.
     """
     shapes = df.select(F.col(key).alias("k"), F.col(geom).alias("g")).where("k IS NOT NULL AND g IS NOT NULL")
     sized = shapes.withColumn("n", F.aggregate(F.flatten("g"), F.lit(0), lambda n, ring: n + F.size(ring)))
