@@ -12,6 +12,7 @@ from zonaria.operators import overlay as V
 from zonaria.operators import partition as P
 from zonaria.operators import shapes
 from zonaria.operators import spatial_join as J
+from zonaria.operators.tiling import tile_load
 from zonaria.rules import CLASS_ORDER
 
 from .base import TILE, query, relation, shaped
@@ -215,6 +216,14 @@ def pair_areas(spark, sf):
     return V.pair_areas(shaped(spark, sf, "buildings").select(F.col("bid").alias("lid"), "geom"), shaped(spark, sf, "lots").select("rid", "geom"), TILE)
 
 
+@query("K1_tile_load", "feat_base feat", """WITH e AS (SELECT x0 AS xa, x1 AS xb, y0 AS ya, y0 AS yb FROM feat UNION ALL SELECT x0, x1, y1, y1 FROM feat UNION ALL SELECT x0, x0, y0, y1 FROM feat UNION ALL SELECT x1, x1, y0, y1 FROM feat),
+    t AS (SELECT unnest(range(CAST(floor(xa / 500) AS BIGINT), CAST(floor(xb / 500) AS BIGINT) + 1)) AS tx, ya, yb FROM e),
+    u AS (SELECT tx, unnest(range(CAST(floor(ya / 500) AS BIGINT), CAST(floor(yb / 500) AS BIGINT) + 1)) AS ty FROM t)
+    SELECT tx, ty, count(*) AS n FROM u GROUP BY 1, 2""")
+def tile_loads(spark, sf):
+    return tile_load(shaped(spark, sf, "feat"), 500.0)
+
+
 @query("K1_union_area_by_plan", "feat_base feat", """WITH f AS (SELECT DISTINCT cut AS g, x0, y0, x1, y1 FROM feat),
     xs AS (SELECT g, x, lead(x) OVER (PARTITION BY g ORDER BY x) AS xn FROM (SELECT g, x0 AS x FROM f UNION SELECT g, x1 FROM f)),
     ys AS (SELECT g, y, lead(y) OVER (PARTITION BY g ORDER BY y) AS yn FROM (SELECT g, y0 AS y FROM f UNION SELECT g, y1 FROM f))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from .skew import HOT_ROWS, salted_join
-from .tiling import TILE, crowded_tiles, point_tiles, tile_pieces
+from .tiling import TILE, crowded_tiles, point_tiles, step_of, tile_pieces
 
 CAPACITY = 4_000
 
@@ -59,8 +59,7 @@ def _ring_pieces(polygons: DataFrame, key: str, size: float, crowded, margin: fl
     """Pieces with all their edges (``es``, for parity), those that are no work of the cut (``own``) and one corner of every
     ring (``corners``). An edge along a line of the cut lies inside the next tile and is met there."""
     cut = tile_pieces(polygons.select(key, "geom"), size, crowded, margin)
-    step = f"({float(size)!r}D / shiftleft(1L, lv))"
-    lines = {f"{axis}{end}": F.expr(f"(t{axis} + {end}) * {step} {'+' if end else '-'} {float(margin)!r}D") for axis in "xy" for end in (0, 1)}
+    lines = {f"{axis}{end}": F.expr(f"(t{axis} + {end}) * {step_of(axis, size)} {'+' if end else '-'} {float(margin)!r}D") for axis in "xy" for end in (0, 1)}
 
     def along(e: Column, axis: str) -> Column:
         return (e[f"{axis}0"] == e[f"{axis}1"]) & ((e[f"{axis}0"] == F.col(f"_{axis}0")) | (e[f"{axis}0"] == F.col(f"_{axis}1")))
