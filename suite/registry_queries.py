@@ -11,6 +11,7 @@ from zonaria.operators import contracts as CT
 from zonaria.operators import demand as D
 from zonaria.operators import features as FE
 from zonaria.operators import registry as R
+from zonaria.operators import schema_rules as SR
 from zonaria.operators import review as RV
 from zonaria.operators.tiling import spread
 from zonaria.plans import catalogue as CA
@@ -357,6 +358,35 @@ def contract_rules(spark, sf):
     return CT.source_errors(rows).select(F.col("k").alias("id"), F.size("errores").alias("n_errores"))
 
 
+CONTRACT_FAULTS = (     # condition on the key, error of the schema
+    ("k % 4 = 3", "/id: no calza con el patrón"), ("k % 9 = 5", "/nombre: tipo integer, se esperaba string"), ("k % 7 = 1", "/estado: no está en la lista"),
+    ("k % 5 = 2", "/acceso/url: falta"), ("k % 11 = 3", "/demanda/umbral_activacion: < 1"), ("k % 13 = 4", "/mapeo[1]/destino: no está en la lista"))
+
+
+@query("A20_L1_contract_documents", sql="WITH c AS (SELECT c_custkey AS k FROM customer), e AS (" + " UNION ALL ".join(f"SELECT k, '{text}' AS error FROM c WHERE {bad}" for bad, text in CONTRACT_FAULTS)
+       + """), fine AS (SELECT k FROM c WHERE k NOT IN (SELECT k FROM e)) SELECT * FROM e UNION ALL SELECT k, 'id distinto del nombre de archivo' FROM fine WHERE k % 17 = 6
+    UNION ALL SELECT k, 'excluir_siempre debe incluir al menos [''NOMBRE'', ''RUT'']' FROM fine WHERE k % 3 = 0""")
+def contract_documents(spark, sf):
+    """Contract documents as JSON texts, one row per error."""
+    bad = {text.split(":")[0]: F.expr(test) for test, text in CONTRACT_FAULTS}
+    k = F.col("k")
+    field = F.struct(F.lit("ALTURA").alias("origen"), F.when(bad["/mapeo[1]/destino"], "altura").otherwise("escala").alias("destino"))
+    rows = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
+    head = {"id": F.concat(F.when(bad["/id"], "F").otherwise("f"), k.cast("string")), "institucion": F.lit("i"), "licencia": F.lit("CC"),
+            "estado": F.when(bad["/estado"], "aprobada").otherwise("activa"), "diccionario": F.array(F.struct(F.lit("ALTURA").alias("campo"))),
+            "mapeo": F.array(F.struct(F.lit("ALTURA").alias("origen"), F.lit("escala").alias("destino")), field),
+            "excluir_siempre": F.when(k % 3 == 0, F.array(F.lit("RUT"))).otherwise(F.array(F.lit("Rut"), F.lit("NOMBRE"))),
+            "condicionante": F.struct(F.lit("alerta").alias("nivel"), F.lit("BORRADOR").alias("efecto")),
+            "demanda": F.struct(F.array(F.lit("q")).alias("preguntas_que_responde"), F.when(bad["/demanda/umbral_activacion"], 0).otherwise(2).alias("umbral_activacion"),
+                                F.struct(F.array(F.lit("R1")).alias("clases")).alias("relevante_si")),
+            "acceso": F.struct(F.lit("api").alias("tipo"), F.when(~bad["/acceso/url"], "u").alias("url"), F.lit("anual").alias("frecuencia_refresco"))}
+    text = F.to_json(F.struct(*[c.alias(n) for n, c in head.items()]))          # a field that is null is left out
+    name = F.when(bad["/nombre"], '{"nombre":5,').otherwise('{"nombre":"n",')
+    docs = rows.select(k, F.concat(F.lit("f/f"), (k + F.when(k % 17 == 6, 1).otherwise(0)).cast("string"), F.lit(".json")).alias("file"), F.concat(name, F.substring(text, 2, 1_000_000)).alias("doc"))
+    loaded = SR.load_sources(docs.select(F.concat(k.cast("string"), F.lit("/"), "file").alias("archivo"), "doc"))
+    return loaded.select(F.substring_index("archivo", "/", 1).cast("bigint").alias("k"), F.explode("errores").alias("error"))
+
+
 @query("L2_theme_contract_rules", sql="""SELECT p_partkey AS id, CAST(p_size % 5 = 0 AS INT) + CASE WHEN p_size % 2 = 0 THEN CAST(p_size % 3 = 0 AS INT) + CAST(p_size % 7 = 0 AS INT) ELSE CAST(p_type <> 'PROMO' AND p_size % 4 = 1 AS INT) END
     + CASE WHEN p_type <> 'PROMO' THEN CAST(p_size % 11 = 0 AS INT) + CAST(p_size % 13 = 0 AS INT) ELSE 0 END + CAST(p_size % 9 = 0 AS INT) AS n_errores FROM part""")
 def theme_rules(spark, sf):

@@ -94,3 +94,8 @@ def read_matches(spark: SparkSession, path: str) -> DataFrame:
 def read_partitioned(spark: SparkSession, path: str, cuts: DataFrame) -> DataFrame:
     """Rows of the partitions ``cut`` listed in ``cuts`` (a join on the partition column, pruned while running)."""
     return spark.read.parquet(path).join(cuts.select("cut").distinct(), "cut", "left_semi")
+
+
+def read_contracts(spark: SparkSession, path: str) -> DataFrame:
+    """JSON documents, one per file → (archivo, doc) for ``schema_rules``."""
+    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("archivo"), F.col("value").alias("doc"))
