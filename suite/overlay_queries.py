@@ -13,6 +13,7 @@ from zonaria.operators import partition as P
 from zonaria.operators import shapes
 from zonaria.operators import spatial_join as J
 from zonaria.operators.tiling import tile_load
+from zonaria.plans import lookup
 from zonaria.rules import CLASS_ORDER
 
 from .base import TILE, query, relation, shaped
@@ -333,6 +334,18 @@ def coloured(spark, sf):
     return O.coloured(occupation_table(spark, sf)).select("ipt", "zona", "ha", "m2_huella", "coef_ocupacion", "n_edificios", "tramo")
 
 
+@query("D26_zone_outlines", "feat_base feat", """WITH f AS (SELECT DISTINCT ipt_nombre AS ipt, coalesce(nullif(trim(zona), ''), '(sin zona)') AS zona, x0, y0, x1, y1 FROM feat WHERE fuente = 'PRC'),
+    b AS (SELECT ipt, zona, min(x0) AS xmin, min(y0) AS ymin, max(x1) AS xmax, max(y1) AS ymax FROM f GROUP BY 1, 2),
+    xs AS (SELECT ipt, zona, x, lead(x) OVER (PARTITION BY ipt, zona ORDER BY x) AS xn FROM (SELECT ipt, zona, x0 AS x FROM f UNION SELECT ipt, zona, x1 FROM f)),
+    ys AS (SELECT ipt, zona, y, lead(y) OVER (PARTITION BY ipt, zona ORDER BY y) AS yn FROM (SELECT ipt, zona, y0 AS y FROM f UNION SELECT ipt, zona, y1 FROM f)),
+    a AS (SELECT ipt, zona, sum((xn - x) * (yn - y)) AS area FROM xs JOIN ys USING (ipt, zona) WHERE xn IS NOT NULL AND yn IS NOT NULL AND EXISTS
+          (SELECT 1 FROM f WHERE f.ipt = xs.ipt AND f.zona = xs.zona AND f.x0 <= x AND f.x1 >= xn AND f.y0 <= y AND f.y1 >= yn) GROUP BY 1, 2)
+    SELECT ipt, zona, round(area, 3) AS area, xmin, ymin, xmax, ymax FROM a JOIN b USING (ipt, zona)""")
+def zone_outlines(spark, sf):
+    z = O.coloured_zones(zone_pieces(spark, sf), occupation_table(spark, sf), TILE).withColumn("b", G.bbox(F.col("geom")))
+    return z.select("ipt", "zona", F.round(G.area(F.col("geom")), 3).alias("area"), "b.*")
+
+
 @query("E6_occupation_quality", "feat_base feat buildings", f"""WITH {OCC} SELECT count(*) AS zonas, round_even(sum(m2) / 1e4, 1) AS ha, floor(sum(m2_huella)) AS m2_huella, CAST(sum(n_edificios) AS BIGINT) AS n_edificios,
     round_even(sum(m2_huella) / sum(m2), 4) AS coef_global, round_even(max(m2_huella / m2), 4) AS coef_max, count(*) FILTER (WHERE m2_huella > m2) AS zonas_coef_mayor_100, count(*) FILTER (WHERE n_edificios = 0) AS zonas_sin_edificios FROM o""")
 def occupation_quality(spark, sf):
@@ -363,6 +376,24 @@ def polygon_cards(spark, sf):
     return K.card_rows(K.shares(points.where(F.lit(False)), lots, layer, TILE), layer).drop("a")
 
 
+@query("D24_lookup_plan", "feat_base feat points", """WITH n AS (SELECT DISTINCT ipt_tipo, ipt_nombre, cut FROM feat WHERE length(ipt_nombre) % 2 = 0),
+    h AS (SELECT p.pid AS qid, f.* FROM points p JOIN feat f ON p.x BETWEEN f.x0 AND f.x1 AND p.y BETWEEN f.y0 AND f.y1 AND f.m BETWEEN p.m - 12 AND p.m + 1), k AS (SELECT qid, min(gid) AS gid FROM h GROUP BY qid)
+    SELECT 'cabecera' AS parte, p.pid AS qid, f.comuna AS a, CASE WHEN f.gid IS NULL THEN 'fuera_dpa' ELSE 'completa' END AS b, CASE WHEN f.riesgo THEN 1e2 ELSE 0e0 END AS pct FROM points p LEFT JOIN k ON k.qid = p.pid LEFT JOIN feat f ON f.gid = k.gid
+    UNION ALL SELECT 'linea', k.qid, f.ipt_nombre, CASE WHEN n.cut IS NOT NULL THEN 'D ' || n.ipt_nombre END, 1e2 FROM k JOIN feat f USING (gid) LEFT JOIN n ON n.ipt_tipo = f.ipt_tipo AND n.ipt_nombre = f.ipt_nombre AND n.cut = f.cut
+    UNION ALL SELECT 'afectacion', qid, ipt_tipo, zona, 1e2 FROM h WHERE riesgo""")
+def lookup_plan(spark, sf):
+    points, lots = card_requests(spark, sf)
+    layer = zone_pieces(spark, sf).withColumns({"clase": F.col("fuente"), "capa": F.col("ipt_tipo")})
+    matches = layer.where(F.length("ipt_nombre") % 2 == 0).select("ipt_tipo", "ipt_nombre", "cut").distinct().withColumns(
+        {c: F.concat(F.lit("D "), "ipt_nombre") for c in ("norma", "denominacion", "fecha_vigencia", "ultima_modificacion", "ordenanza_url")})
+    heads, lines, other = lookup.cards(points, lots.where(F.lit(False)), layer, layer.where("riesgo"), matches, TILE)
+
+    def part(df, name, a, b, pct):
+        return df.select(F.lit(name).alias("parte"), "qid", F.col(a).alias("a"), F.col(b).alias("b"), F.col(pct).alias("pct"))
+
+    return part(heads, "cabecera", "comuna", "cobertura", "riesgo_pct").unionByName(part(lines, "linea", "ipt_nombre", "ipt_norma", "pct")).unionByName(part(other, "afectacion", "tipo", "zona", "pct"))
+
+
 @query("D24_card_heads", "lots comunas", """SELECT l.rid AS qid, c.comuna, c.cut, c.region, 0e0 AS riesgo_pct, CASE WHEN c.cut IS NULL THEN 'fuera_dpa' ELSE 'completa' END AS cobertura FROM lots l LEFT JOIN comunas c ON l.cut = c.cut""")
 def card_heads(spark, sf):
     points, lots = card_requests(spark, sf)

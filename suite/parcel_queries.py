@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from zonaria.functions import crs as CR
 from zonaria.functions import geometry as G
 from zonaria.functions import text as X
 from zonaria.functions.numeric import half_even
+from zonaria.operators import bounds as BO
 from zonaria.operators import buildings as B
 from zonaria.operators import parcels as P
 from zonaria.operators import spatial_join as J
@@ -398,6 +400,27 @@ def boxes(spark, sf):
     return b.groupBy("region").agg(F.min("b.xmin").alias("xmin"), F.min("b.ymin").alias("ymin"), F.max("b.xmax").alias("xmax"), F.max("b.ymax").alias("ymax"))
 
 
+@query("E21_boxes_with_margin", "comunas", "SELECT region, min(x0) - 200 AS xmin, min(y0) - 200 AS ymin, max(x1) + 200 AS xmax, max(y1) + 200 AS ymax FROM comunas GROUP BY region")
+def boxes_with_margin(spark, sf):
+    return BO.group_boxes(shaped(spark, sf, "comunas"), ["region"], 200.0)
+
+
+@query("G6_comuna_list", "comunas", "SELECT cut, comuna AS nombre, region, x0 AS xmin, y0 AS ymin, x1 AS xmax, y1 AS ymax FROM comunas")
+def comuna_list(spark, sf):
+    return BO.comuna_list(shaped(spark, sf, "comunas")).select("cut", "nombre", "region", *[F.get("bbox", F.lit(i)).alias(c) for i, c in enumerate(("xmin", "ymin", "xmax", "ymax"))])
+
+
+@query("B2_geojson_wgs84", "comunas", f"SELECT cut, [[lon, lat], [lon + 0.01, lat], [lon + 0.01, lat + 0.01], [lon, lat + 0.01], [lon, lat]] AS anillo FROM (SELECT cut, CAST(-71 - (k % 200) / 100.0 AS DOUBLE) AS lon, CAST(-30 - (k % 1000) / 100.0 AS DOUBLE) AS lat FROM comunas)".replace("lon + 0.01", "round(lon + 0.01, 6)").replace("lat + 0.01", "round(lat + 0.01, 6)"))
+def geojson_wgs84(spark, sf):
+    """Metric shapes wound the wrong way round, written in lon/lat."""
+    c = relation(spark, sf, "comunas").select("cut", F.expr("CAST(-71 - (k % 200) / 100.0D AS DOUBLE)").alias("lon"), F.expr("CAST(-30 - (k % 1000) / 100.0D AS DOUBLE)").alias("lat"))
+    box = G.box(F.col("lon"), F.col("lat"), F.col("lon") + 0.01, F.col("lat") + 0.01)
+    metric = c.select("cut", CR.to_albers(F.transform(box, lambda poly: F.transform(poly, F.reverse)), 6).alias("geom"))
+    j = sinks.in_lonlat(metric)
+    text = j.select("cut", sinks.feature_json(j).alias("j"))
+    return text.select("cut", F.from_json(F.get_json_object("j", "$.geometry.coordinates[0][0]"), "array<array<double>>").alias("anillo"))
+
+
 @query("B2_geojson_features", "feat_base feat", "SELECT gid, 'MultiPolygon' AS tipo, CAST(x0 AS DOUBLE) AS x, zona FROM feat")
 def geojson(spark, sf):
     df = shaped(spark, sf, "feat").withColumn("attrs_raw", F.lit("{}"))

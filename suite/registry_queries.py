@@ -258,6 +258,11 @@ def server_base(spark, sf):
     return R.server_base(s, s)
 
 
+@query("D27_server_base_fallback", "feat_base feat", f"WITH {SERVER} SELECT DISTINCT cut, ipt_tipo, ipt_nombre FROM sv WHERE ipt_tipo IS NOT NULL")
+def server_base_fallback(spark, sf):
+    return R.server_base(None, server(spark, sf))
+
+
 @query("E3_B5_inventory", "feat_base feat", "SELECT ipt_tipo, ipt_nombre, cut_ipt, count(*) AS features FROM feat GROUP BY ALL")
 def inventory(spark, sf):
     return relation(spark, sf, "feat").groupBy("ipt_tipo", "ipt_nombre", "cut_ipt").agg(F.count("*").alias("features"))

@@ -117,6 +117,14 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
 
 
+def wound(geom: Column) -> Column:
+    """Outer rings counter-clockwise, holes clockwise."""
+    def turned(ring: Column, outer: Column) -> Column:
+        return F.when((ring_signed_area(ring) < 0) == outer, F.reverse(ring)).otherwise(ring)
+
+    return F.transform(geom, lambda poly: F.transform(poly, lambda ring, i: turned(ring, i == 0)))
+
+
 def ring_signed_area(ring: Column) -> Column:
     return _sum(F.transform(segments(ring), lambda e: e["x0"] * e["y1"] - e["x1"] * e["y0"])) / 2
 

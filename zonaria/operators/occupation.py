@@ -8,7 +8,8 @@ from ..functions.numeric import half_even
 from ..functions import geometry as G
 from ..functions import scales as S
 from ..functions import text as X
-from .overlay import pair_areas
+from .overlay import overlay, pair_areas
+from .shapes import dissolve
 from .spatial_join import points_in_polygons
 
 NO_ZONE = "(sin zona)"
@@ -75,6 +76,15 @@ def coloured(table: DataFrame) -> DataFrame:
     return rounded(table.withColumns({"tramo": S.occupation_label(c, n), "color": S.occupation_colour(c, n)}))
 
 
+def coloured_zones(pieces: DataFrame, table: DataFrame, size: float) -> DataFrame:
+    """The coloured table with the dissolved ground of every (ipt, zona); ``pieces`` as in ``occupation``."""
+    z = pieces.where(F.col("fuente") == "PRC")
+    layers = z.select(F.struct(F.col("ipt_nombre").alias("ipt"), zone_name(F.col("zona")).alias("zona"), "pid").alias("item"), "geom")
+    zones = F.array_distinct(F.transform("active", lambda a: F.struct(a["ipt"].alias("ipt"), a["zona"].alias("zona"))))
+    cells = overlay(layers, size, shapes=True, stored=pieces).withColumn("_z", F.explode(zones)).select("*", "_z.ipt", "_z.zona")
+    return coloured(table).join(dissolve(cells, ["ipt", "zona"]), ["ipt", "zona"], "left")
+
+
 def quality(table: DataFrame) -> DataFrame:
     return table.agg(
         F.count("*").alias("zonas"), half_even(F.sum("ha"), 1).alias("ha"), F.floor(F.sum("m2_huella")).alias("m2_huella"),

@@ -114,9 +114,12 @@ def gap_lists(table: DataFrame) -> DataFrame:
     return rows.groupBy("lista", "comuna_tipo").agg(F.count("*").alias("n"))
 
 
-def server_base(inventory: DataFrame, partition: DataFrame) -> DataFrame:
-    """Instruments on the server: local ones from the inventory, intercomunal ones from the partition."""
+def server_base(inventory: DataFrame | None, partition: DataFrame) -> DataFrame:
+    """Instruments on the server: local ones from the inventory, intercomunal ones from the partition. Without an inventory
+    (``None``, an earlier build) all come from the partition."""
     cols = ["cut", "ipt_tipo", "ipt_nombre"]
+    if inventory is None:
+        return partition.where(F.col("ipt_tipo").isNotNull()).select(*cols).distinct()
     local = inventory.where(F.col("ipt_tipo").isin("PRC", "SECCIONAL", "LU") & F.col("cut").isNotNull()).select(*cols)
     wide = partition.where(F.col("ipt_tipo").isin("PRI", "PRM")).select(*cols)
     return local.unionByName(wide).distinct()

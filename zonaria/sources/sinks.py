@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import crs as C
 from ..functions import geometry as G
 from ..operators.demand import LOG_COLUMNS
 from ..operators.parcels import hilbert_key
@@ -23,8 +24,13 @@ def export_checks(df: DataFrame) -> DataFrame:
                   F.count(F.when(G.is_empty(F.col("geom")), 1)).alias("piezas_degeneradas"))
 
 
+def in_lonlat(df: DataFrame, geom: str = "geom") -> DataFrame:
+    """Metric shapes for GeoJSON: lon/lat, outer rings counter-clockwise and holes clockwise."""
+    return df.withColumn(geom, G.wound(C.to_lonlat(F.col(geom))))
+
+
 def feature_json(df: DataFrame, digits: int = 6, raw_attributes: bool = False, geom: str = "geom") -> Column:
-    """GeoJSON Feature text of a row."""
+    """GeoJSON Feature text of a row; the coordinates are written as they are."""
     columns = [c for c in df.columns if c != geom and (raw_attributes or c != "attrs_raw")]
     return F.to_json(F.struct(
         F.lit("Feature").alias("type"),
@@ -32,8 +38,10 @@ def feature_json(df: DataFrame, digits: int = 6, raw_attributes: bool = False, g
         F.struct(*columns).alias("properties")))
 
 
-def write_geojson_lines(df: DataFrame, path: str, partition: str | None = "region", digits: int = 6, raw_attributes: bool = False) -> None:
-    """One Feature per line; with ``partition`` one folder per region."""
+def write_geojson_lines(df: DataFrame, path: str, partition: str | None = "region", digits: int = 6, raw_attributes: bool = False,
+                        metric: bool = False) -> None:
+    """One Feature per line; with ``partition`` one folder per region. ``metric`` shapes are brought to lon/lat first."""
+    df = in_lonlat(df) if metric else df
     keep = [partition] if partition else []
     lines = df.select(feature_json(df, digits, raw_attributes).alias("value"), *keep)
     writer = lines.write.mode("overwrite")
